@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendmill.operators.scale import largest_group
+from trendmill.operators.scale import MAX_GROUP_ROWS, largest_group
 from trendmill.operators.tabletests import require_rows, run_table_tests
 from trendmill.plans import checks, gold, marts, staging
 from trendmill.plans.silver import silver_videos
@@ -58,17 +58,24 @@ def build_silver(bronze: DataFrame, lake: Lake, grain: str = "day") -> int:
     """TB1, SK1. The input is checked before anything is overwritten."""
     require_input(bronze, "silver")
     path = lake.path("silver", "videos")
-    rows = write_table(silver_videos(bronze, grain), path, SILVER_PARTITIONS, fmt=lake.fmt)
+    rows = write_table(silver_videos(bronze, grain), path, SILVER_PARTITIONS, ["ingested_at"], lake.fmt)
     if lake.database:
         register_table(bronze.sparkSession, f"{lake.database}.silver_videos", path, lake.fmt)
     return rows
 
 
-def gold_tables(snaps: DataFrame, group_rows: int | None = None) -> dict[str, DataFrame]:
-    return {
+def gold_tables(snaps: DataFrame, group_rows: int) -> dict[str, DataFrame]:
+    """``group_rows`` bounds the rows of ``snaps`` per region and day.
+
+    Titles beyond the arrays of the channel statistics get a table of their own, if there are any.
+    """
+    overflow = {}
+    if group_rows > MAX_GROUP_ROWS:
+        overflow["channel_titles"] = gold.channel_titles(snaps, MAX_GROUP_ROWS)
+    return overflow | {
         "daily_trending_rank": gold.daily_trending_rank(snaps, group_rows),
         "category_stats": gold.category_stats(snaps),
-        "channel_stats": gold.channel_stats(snaps),
+        "channel_stats": gold.channel_stats(snaps, group_rows),
         "view_velocity": gold.view_velocity(snaps),
     }
 
@@ -89,7 +96,8 @@ def build_gold(spark: SparkSession, lake: Lake, day: str | None = None) -> dict[
     rows = {}
     for name, df in tables.items():
         path = lake.path("gold", name)
-        rows[name] = write_table(df, path, GOLD_PARTITIONS, fmt=lake.fmt, dynamic=day is not None)
+        order = ["trending_rank"] if name == "daily_trending_rank" else None
+        rows[name] = write_table(df, path, GOLD_PARTITIONS, order, lake.fmt, dynamic=day is not None)
         if lake.database:
             register_table(spark, f"{lake.database}.gold_{name}", path, lake.fmt)
     return rows

@@ -36,11 +36,11 @@ def write_table(
     rows within each file. The count is observed on the tasks that write, without a second scan.
     ``dynamic`` replaces the partitions present in ``df`` only; else the whole table and its schema.
     """
-    laid_out = df.hint("rebalance", *partition_by)
+    counted = Observation()
+    laid_out = df.hint("rebalance", *partition_by).observe(counted, F.count(F.lit(1)).alias("rows"))
     if sort_by:
         laid_out = laid_out.sortWithinPartitions(*partition_by, *sort_by)
-    counted = Observation()
-    writer = laid_out.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite")
+    writer = laid_out.write.format(fmt).mode("overwrite")
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     else:

@@ -14,10 +14,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
 from trendmill.operators.filters import partition_safe
 from trendmill.plans.silver import ENTITY, SNAPSHOT, latest_records, newest, typed
@@ -71,19 +72,24 @@ def _with_unit(records: DataFrame, feed: Feed) -> DataFrame:
     return records.withColumn(BUCKET, bucket)
 
 
-def _read_state(spark: SparkSession, feed: Feed, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(feed.state)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+def prepare_feed(spark: SparkSession, feed: Feed) -> None:
+    """Create the empty state and the first mark of a new feed; an existing feed stays as it is."""
+    schema = StructType.fromDDL(f"{BRONZE}, {SNAPSHOT} DATE")
+    records = spark.createDataFrame([], schema)
+    records = records.withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+    empty = _with_unit(records, feed)
+    empty.write.mode("ignore").partitionBy(feed.unit).parquet(feed.state)
+    _mark(spark, feed, "first", -1, "ignore")
 
 
-def _marked(spark: SparkSession, feed: Feed, batch_id: int) -> bool:
-    try:
-        marks = spark.read.schema("batch_id BIGINT").json(feed.mark)
-        return not marks.filter(F.col("batch_id") == batch_id).isEmpty()
-    except AnalysisException:
-        return False
+def _mark(spark: SparkSession, feed: Feed, name: str, batch_id: int, mode: str) -> None:
+    done = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"))
+    done.write.mode(mode).json(f"{feed.mark}/{name}")
+
+
+def _is_marked(spark: SparkSession, feed: Feed, batch_id: int) -> bool:
+    marks = spark.read.schema("batch_id BIGINT").option("recursiveFileLookup", True).json(feed.mark)
+    return not marks.filter(F.col("batch_id") == batch_id).isEmpty()
 
 
 def _replace_units(df: DataFrame, feed: Feed, path: str, mode: str) -> None:
@@ -102,23 +108,25 @@ def merge_batch(batch: DataFrame, batch_id: int, feed: Feed) -> None:
     fresh = _with_unit(latest_records(batch, feed.grain), feed)
     columns = [name for name in fresh.columns if name != feed.unit]
     fresh = fresh.select(*columns, feed.unit)
-    if not _marked(spark, feed, batch_id):
+    if not _is_marked(spark, feed, batch_id):
+        fresh.persist(StorageLevel.DISK_ONLY)
         # As many values as the batch has days, or as there are buckets.
         units = [row[0] for row in fresh.select(feed.unit).distinct().collect()]
         touched = F.col(feed.unit).isin([unit for unit in units if unit is not None])
         if None in units:
             touched = touched | F.col(feed.unit).isNull()
-        current = _read_state(spark, feed, fresh.schema).filter(touched)
+        current = spark.read.schema(fresh.schema).parquet(feed.state).filter(touched)
         merged = newest(current.unionByName(fresh), feed.grain)
         _replace_units(merged, feed, feed.merged, "static")
-        done = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"))
-        done.write.mode("overwrite").json(feed.mark)
+        _mark(spark, feed, "last", batch_id, "overwrite")
+        fresh.unpersist()
     merged = spark.read.schema(fresh.schema).parquet(feed.merged)
     _replace_units(merged, feed, feed.state, "dynamic")
 
 
 def start_feed(bronze: DataFrame, feed: Feed) -> StreamingQuery:
     """Process everything that has arrived, in batches, then stop; a later start goes on from there."""
+    prepare_feed(bronze.sparkSession, feed)
     return (
         bronze.writeStream.foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, feed))
         .option("checkpointLocation", feed.checkpoint)
