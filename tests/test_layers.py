@@ -106,6 +106,19 @@ def test_velocity(spark):
     assert labelled[2].velocity_pct == 20.0
 
 
+@pytest.mark.parametrize("day", range(1, 9))
+def test_velocity_of_one_day(spark, day):
+    rows = [at(d, view_count=v, video_id=k) for k, v, d in
+            [("a", 0, 1), ("a", 5, 2), ("a", None, 4), ("a", 6, 5), ("b", 3, 2), ("b", 4, 5), ("c", 9, 8)]]
+    undated = [{"video_id": "b", "ingested_at": "bad", "view_count": 2}]
+    snaps = snaps_of(spark, *rows, *undated)
+    date = f"2026-01-{day:02}"
+    whole = on_date(gold.view_velocity(snaps), "snapshot_date", date).drop(gold.PROCESSED)
+    alone = gold.view_velocity_on(snaps, date).drop(gold.PROCESSED)
+    assert alone.columns == whole.columns
+    assert sorted(map(str, alone.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_velocity_needs_history(spark):
     df = records(spark, at(1, view_count=10), at(2, view_count=20))
     latest = gold.view_velocity(gold.snapshots(silver_videos(df, "latest")))

@@ -22,16 +22,18 @@ def share_of_total(
     name: str,
     group_rows: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """WN6: share of each row in the total of its group.
 
     Small groups use a window, which can share its shuffle with a rank over the same keys. For
-    large ones the totals are aggregated before the shuffle and joined back.
+    large ones the totals are aggregated before the shuffle and joined back. ``source`` may name a
+    frame with the same measures that is cheaper to total.
     """
     if group_bound(df, keys, group_rows, max_group_rows) <= max_group_rows:
         total = F.try_sum(measure).over(Window.partitionBy(*keys))
         return df.withColumn(name, share(F.col(measure), total))
-    totals = df.groupBy(*keys).agg(F.try_sum(measure).alias("_total"))
+    totals = (source or df).groupBy(*keys).agg(F.try_sum(measure).alias("_total"))
     joined = join_on_group(df, broadcast_if_small(totals), keys)
     return joined.withColumn(name, share(F.col(measure), F.col("_total"))).drop("_total")
 

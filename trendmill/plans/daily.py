@@ -12,7 +12,7 @@ from trendmill.operators.tabletests import require_rows, run_table_tests
 from trendmill.plans import checks, gold, marts, staging
 from trendmill.plans.silver import silver_videos
 from trendmill.schemas import GOLD, GOLD_PARTITIONS, MART_PARTITIONS, SILVER, SILVER_PARTITIONS
-from trendmill.session import configure
+from trendmill.session import configure, discard_staged
 from trendmill.sources.bronze import read_bronze, require_input
 from trendmill.sources.tables import (
     DEFAULT_FORMAT,
@@ -83,8 +83,7 @@ def gold_tables(snaps: DataFrame, group_rows: int) -> dict[str, DataFrame]:
 def build_gold(spark: SparkSession, lake: Lake, day: str | None = None) -> dict[str, int]:
     """TB2-TB5, SK2. Each table is one read of the needed silver columns and one write.
 
-    With ``day`` only that day's partitions are replaced. Growth needs the earlier days and is
-    then computed over all of them before the day is picked.
+    With ``day`` only that day's partitions are replaced; growth looks back at the earlier days.
     """
     silver = read_table(spark, lake.path("silver", "videos"), SILVER, lake.fmt)
     require_input(silver, "gold")
@@ -92,7 +91,7 @@ def build_gold(spark: SparkSession, lake: Lake, day: str | None = None) -> dict[
     snaps = gold.snapshots(silver, day)
     tables = gold_tables(snaps, largest_group(snaps, gold.DAY))
     if day is not None:
-        tables["view_velocity"] = gold.on_date(gold.view_velocity(history), gold.SNAPSHOT, day)
+        tables["view_velocity"] = gold.view_velocity_on(history, day)
     rows = {}
     for name, df in tables.items():
         path = lake.path("gold", name)
@@ -166,4 +165,5 @@ def run_daily(
     layer = read_gold(spark, lake)
     bound = largest_group(layer["daily_trending_rank"], gold.DAY)
     run = build_marts(spark, lake, staging_views(layer), bound)
+    discard_staged(spark)
     return Run(rows | run.rows, warnings, run.failed_tests)

@@ -10,7 +10,7 @@ from trendmill.operators.aggregates import value_at_max
 from trendmill.operators.filters import on_date
 from trendmill.operators.ranking import row_number_in_group, top_n
 from trendmill.operators.scale import MAX_GROUP_ROWS, broadcast_if_small, group_bound, group_key
-from trendmill.operators.series import with_previous
+from trendmill.operators.series import with_last_before, with_previous
 from trendmill.plans.silver import ENTITY, SNAPSHOT
 
 DAY = ["region", SNAPSHOT]
@@ -119,24 +119,39 @@ def channel_titles(snaps: DataFrame, max_group_rows: int = 0) -> DataFrame:
     return keyed.join(_large_channels(snaps, max_group_rows), "_channel", "left_semi").drop("_channel")
 
 
-def view_velocity(snaps: DataFrame) -> DataFrame:
-    """TB5: change of views since the previous snapshot of the same video and region.
+LAGS = {"view_count": "_previous_views", SNAPSHOT: "_previous_date"}
+VELOCITY_COLUMNS = [
+    "video_id", "title", "channel_id", "channel_title", "category_id", "region", SNAPSHOT,
+    "view_count", "like_count", "comment_count", "engagement_rate",
+]
 
-    A series has one row per day, so its length is bounded by the days of history.
-    """
-    columns = [
-        "video_id", "title", "channel_id", "channel_title", "category_id", "region", SNAPSHOT,
-        "view_count", "like_count", "comment_count", "engagement_rate",
-    ]
-    lags = {"view_count": "_previous_views", SNAPSHOT: "_previous_date"}
-    previous, views = F.col("_previous_views"), F.col("view_count")
-    with_lags = with_previous(snaps.select(*columns), ENTITY, [F.asc(SNAPSHOT)], lags)
+
+def _velocity(with_lags: DataFrame) -> DataFrame:
+    views, previous = F.col("view_count"), F.col(LAGS["view_count"])
     return _stamped(
         with_lags.withColumns(
             {
                 "view_count_delta": F.try_subtract(views, previous),
                 "velocity_pct": percent_change(views, previous),
-                "days_since_prev_snapshot": days_between(F.col("_previous_date"), F.col(SNAPSHOT)),
+                "days_since_prev_snapshot": days_between(F.col(LAGS[SNAPSHOT]), F.col(SNAPSHOT)),
             }
-        ).drop(*lags.values())
+        ).drop(*LAGS.values())
     )
+
+
+def view_velocity(snaps: DataFrame) -> DataFrame:
+    """TB5: change of views since the previous snapshot of the same video and region.
+
+    A series has one row per day, so its length is bounded by the days of history. A row without a
+    date comes first, as Spark sorts it.
+    """
+    return _velocity(with_previous(snaps.select(*VELOCITY_COLUMNS), ENTITY, [F.asc(SNAPSHOT)], LAGS))
+
+
+def view_velocity_on(snaps: DataFrame, day: str) -> DataFrame:
+    """The rows of :func:`view_velocity` for one day, without sorting the history."""
+    current = on_date(snaps, SNAPSHOT, day).select(*VELOCITY_COLUMNS)
+    date = F.col(SNAPSHOT)
+    earlier = snaps.filter(date.isNull() | (date < F.lit(day).cast("date")))
+    order = F.coalesce(date, F.lit("0001-01-01").cast("date"))
+    return _velocity(with_last_before(current, earlier, ENTITY, order, LAGS))

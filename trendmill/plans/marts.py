@@ -56,7 +56,7 @@ def fct_top_channels(
     slim = stg.drop("trending_video_titles", "_gold_processed_at")
     bound = group_bound(slim, DAY, group_rows, max_group_rows)
     ranked = rank_in_group(slim, DAY, "total_views", "channel_rank", bound, max_group_rows)
-    shared = share_of_total(ranked, DAY, "total_views", "view_share", bound, max_group_rows)
+    shared = share_of_total(ranked, DAY, "total_views", "view_share", bound, max_group_rows, slim)
     return shared.select(
         "channel_id", "channel_title", "region", "snapshot_date", "channel_rank",
         "trending_video_count", "total_views", "total_likes", "total_comments",

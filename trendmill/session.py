@@ -16,6 +16,7 @@ SETTINGS = {
 }
 
 _local_scratch: dict[str, str] = {}
+_staged: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -51,4 +52,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_staged(spark: SparkSession) -> None:
+    """Delete what this process has staged. Frames that read it must not be used any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while _staged:
+        path = hadoop.Path(_staged.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
