@@ -58,7 +58,7 @@ def silver(grain: str = "day") -> str:
 silver AS (
   SELECT
     video_id, channel_id, region, title, description, channel_title,
-    try_cast(category_id AS INTEGER) AS category_id, default_language,
+    try_cast(category_id AS BIGINT) AS category_id, default_language,
     try_strptime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS published_at, ts AS ingested_at,
     view_count, like_count, comment_count, source, {DURATION} AS duration_seconds,
     coalesce(n_tags, 0) AS tags_count,

@@ -37,6 +37,17 @@ def spark_rows(df) -> tuple[list[str], list[tuple]]:
     return normalized(df.columns, [tuple(row) for row in df.collect()])
 
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def spark_types(df) -> dict[str, str]:
+    return {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+
+
+def duckdb_types(con, sql: str) -> dict[str, str]:
+    return {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+
+
 def duckdb_rows(con, sql: str) -> tuple[list[str], list[tuple]]:
     result = con.execute(sql)
     return normalized([d[0] for d in result.description], result.fetchall())
@@ -53,14 +64,16 @@ def main(sf_dir: str, only: list[str]) -> int:
         if only and name not in only:
             continue
         start = time.time()
-        columns, rows = spark_rows(query(spark, sf_dir))
+        df, sql = query(spark, sf_dir), entry.oracle_sql()[name]
+        columns, rows = spark_rows(df)
         took = time.time() - start
-        expected_columns, expected = duckdb_rows(con, entry.oracle_sql()[name])
-        same = columns == expected_columns and rows == expected
+        expected_columns, expected = duckdb_rows(con, sql)
+        types, expected_types = spark_types(df), duckdb_types(con, sql)
+        same = columns == expected_columns and rows == expected and types == expected_types
         failed += not same
         print(f"{'ok ' if same else 'BAD'} {name:36} {len(rows):8} rows {took:6.2f}s", flush=True)
         if not same:
-            print("   columns", set(columns) ^ set(expected_columns), len(rows), len(expected))
+            print("   types", set(types.items()) ^ set(expected_types.items()), len(rows), len(expected))
             different = [(a, b) for a, b in zip(rows, expected) if a != b][:2]
             for a, b in different:
                 print("   spark ", [(c, x) for c, x, y in zip(columns, a, b) if x != y])

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from compare import connect, duckdb_rows, spark_rows
+from compare import connect, duckdb_rows, duckdb_types, spark_rows, spark_types
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -19,8 +19,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", entry.queries())
 def test_query_matches_sql(spark, con, name):
-    columns, rows = spark_rows(entry.queries()[name](spark, SF_DIR))
-    expected_columns, expected = duckdb_rows(con, entry.oracle_sql()[name])
+    df, sql = entry.queries()[name](spark, SF_DIR), entry.oracle_sql()[name]
+    assert spark_types(df) == duckdb_types(con, sql)
+    columns, rows = spark_rows(df)
+    expected_columns, expected = duckdb_rows(con, sql)
     assert columns == expected_columns
     assert rows == expected
 

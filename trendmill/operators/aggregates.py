@@ -33,7 +33,7 @@ def share_of_total(
     if group_bound(df, keys, group_rows, max_group_rows) <= max_group_rows:
         total = F.try_sum(measure).over(Window.partitionBy(*keys))
         return df.withColumn(name, share(F.col(measure), total))
-    totals = (source or df).groupBy(*keys).agg(F.try_sum(measure).alias("_total"))
+    totals = (df if source is None else source).groupBy(*keys).agg(F.try_sum(measure).alias("_total"))
     joined = join_on_group(df, broadcast_if_small(totals), keys)
     return joined.withColumn(name, share(F.col(measure), F.col("_total"))).drop("_total")
 
