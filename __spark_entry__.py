@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from trendmill.operators.quality import duplicate_keys, summarize, violations
 from trendmill.operators.scale import largest_group
 from trendmill.operators.tabletests import row_counts, run_table_tests, value_histogram
 from trendmill.plans import checks, daily, gold, marts, staging
-from trendmill.plans.silver import ENTITY, SNAPSHOT, latest_records, silver_videos as build_silver
+from trendmill.plans.silver import ENTITY, SNAPSHOT
+from trendmill.plans.silver import silver_videos as build_silver
 from trendmill.schemas import SILVER, SILVER_PARTITIONS
 from trendmill.session import configure, scratch_path, stage
 from trendmill.sources import bronze as raw
@@ -26,9 +28,6 @@ from trendmill.streaming.feed import Feed, feed_silver, start_feed, stream_bronz
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Group size that makes even the test tables take the plans for groups too large for one task.
-TINY = 10
-
 
 def comparable(df: DataFrame) -> DataFrame:
     """Types both engines render alike: text for dates and times, bigint for integers.
@@ -70,6 +69,11 @@ def _day_bound(spark: SparkSession, sf_dir: str) -> int:
     return largest_group(_bronze(spark, sf_dir).select("region", seen.alias(SNAPSHOT)), gold.DAY)
 
 
+def _split(df: DataFrame) -> dict[str, int]:
+    """A limit below the largest group, which makes any table take the plans for large groups."""
+    return {"max_group_rows": max(1, largest_group(df, gold.DAY) // 4)}
+
+
 def _staging(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, build = staging.STAGING[name]
     snaps = _snaps(spark, sf_dir)
@@ -127,7 +131,8 @@ def daily_trending_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_trending_rank_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(gold.daily_trending_rank(_snaps(spark, sf_dir), max_group_rows=TINY))
+    snaps = stage(_snaps(spark, sf_dir), "snaps")
+    return comparable(gold.daily_trending_rank(snaps, **_split(snaps)))
 
 
 def category_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +167,7 @@ def fct_top_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fct_top_channels_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = stage(_staging(spark, sf_dir, "stg_channel_stats"), "stg_channel_stats")
-    return comparable(marts.fct_top_channels(stg, max_group_rows=TINY))
+    return comparable(marts.fct_top_channels(stg, **_split(stg)))
 
 
 def fct_category_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +187,7 @@ def fct_momentum_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fct_momentum_videos_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = stage(_staging(spark, sf_dir, "stg_view_velocity"), "stg_view_velocity")
-    return comparable(marts.fct_momentum_videos(stg, max_group_rows=TINY))
+    return comparable(marts.fct_momentum_videos(stg, **_split(stg)))
 
 
 def partition_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,24 +247,26 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, path, SILVER).drop("tags"))
 
 
-def _landed(spark: SparkSession, sf_dir: str, files: int) -> str:
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """All records as JSON lines below a landing prefix, in eight files or more."""
     prefix = scratch_path(configure(spark), "landing")
-    raw.land(_bronze(spark, sf_dir).repartition(files), f"{prefix}/2024/01/01/00")
-    return prefix
+    bronze = _bronze(spark, sf_dir)
+    raw.land(bronze, f"{prefix}/2024/01/01/00", rows_per_file=max(100, bronze.count() // 8))
+    return raw.landing_glob(f"{prefix}/2024")
 
 
 def json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = raw.read_bronze(spark, raw.landing_glob(f"{_landed(spark, sf_dir, 4)}/2024"))
+    landed = raw.read_bronze(spark, _landed(spark, sf_dir))
     tags_count = F.when(F.col("tags").isNull(), -1).otherwise(F.size("tags"))
     return comparable(landed.withColumn("tags_count", tags_count).drop("tags"))
 
 
 def _incremental(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
-    landing = _landed(spark, sf_dir, 6)
-    feed = Feed(scratch_path(spark, "feed"), grain, buckets=4)
-    stream = stream_bronze(spark, raw.landing_glob(f"{landing}/2024"), files_per_batch=3)
-    start_feed(stream, feed).awaitTermination()
-    return comparable(feed_silver(spark, feed).drop("tags"))
+    landed = _landed(spark, sf_dir)
+    files = len(raw.read_bronze(spark, landed).inputFiles())
+    feed = Feed(scratch_path(spark, "feed"))
+    start_feed(stream_bronze(spark, landed, math.ceil(files / 2)), feed).awaitTermination()
+    return comparable(feed_silver(spark, feed, grain).drop("tags"))
 
 
 def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,20 +24,19 @@ def batches():
     ]
 
 
-@pytest.mark.parametrize("grain", ["day", "latest"])
-def test_feed_equals_batch_build(spark, tmp_path, grain):
+def test_feed_equals_batch_build(spark, tmp_path):
     landing = str(tmp_path / "landing")
-    feed = Feed(str(tmp_path / "feed"), grain, buckets=3)
+    feed = Feed(str(tmp_path / "feed"))
     for batch in batches():
         land(records(spark, *batch), landing)
         start_feed(stream_bronze(spark, landing), feed).awaitTermination()
     everything = spark.read.schema(records(spark, {}).schema).json(landing)
-    assert rows_of(feed_silver(spark, feed)) == rows_of(silver_videos(everything, grain))
+    for grain in ("day", "latest"):
+        assert rows_of(feed_silver(spark, feed, grain)) == rows_of(silver_videos(everything, grain))
 
 
-@pytest.mark.parametrize("grain", ["day", "latest"])
-def test_repeated_batch_changes_nothing(spark, tmp_path, grain):
-    feed = Feed(str(tmp_path), grain, buckets=3)
+def test_repeated_batch_changes_nothing(spark, tmp_path):
+    feed = Feed(str(tmp_path))
     prepare_feed(spark, feed)
     for number, batch in enumerate(batches()):
         merge_batch(records(spark, *batch), number, feed)
@@ -55,20 +54,30 @@ def test_crash_in_a_batch_is_repaired_by_the_next_run(spark, tmp_path, monkeypat
         merge_batch(first, 0, each)
     merge_batch(second, 1, twin)
 
-    replace = streaming._replace_units
+    replace = streaming._replace_days
 
-    def crashing(df, where, path, mode):
+    def crashing(df, path, mode):
         if mode == broken_step:
             if mode == "dynamic":
                 # A crash between deletion and renaming can leave the touched partitions empty,
                 # and this batch touches them all.
-                replace(df.limit(0), where, path, "static")
+                replace(df.limit(0), path, "static")
             raise RuntimeError("lost driver")
-        replace(df, where, path, mode)
+        replace(df, path, mode)
 
-    monkeypatch.setattr(streaming, "_replace_units", crashing)
+    monkeypatch.setattr(streaming, "_replace_days", crashing)
     with pytest.raises(RuntimeError):
         merge_batch(second, 1, feed)
-    monkeypatch.setattr(streaming, "_replace_units", replace)
+    monkeypatch.setattr(streaming, "_replace_days", replace)
     merge_batch(second, 1, feed)
     assert rows_of(feed_silver(spark, feed)) == rows_of(feed_silver(spark, twin))
+
+
+def test_a_batch_leaves_other_days_alone(spark, tmp_path):
+    feed = Feed(str(tmp_path))
+    prepare_feed(spark, feed)
+    merge_batch(records(spark, at(1), at(2)), 0, feed)
+    first_day = {f for f in spark.read.parquet(feed.state).inputFiles() if "2026-01-01" in f}
+    merge_batch(records(spark, at(2, 5, view_count=6)), 1, feed)
+    assert first_day and first_day <= set(spark.read.parquet(feed.state).inputFiles())
+    assert [r.view_count for r in feed_silver(spark, feed).orderBy("ingested_at").collect()] == [1, 6]

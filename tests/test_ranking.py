@@ -119,7 +119,8 @@ def test_join_and_window_totals_agree(spark):
 
 
 def test_value_at_max_skips_nulls(spark):
-    df = spark.createDataFrame([(None, 9, "a"), ("x", 5, "b"), ("y", 5, "c"), ("z", None, "d")], "t string, v int, id string")
+    rows = [(None, 9, "a"), ("x", 5, "b"), ("y", 5, "c"), ("z", None, "d")]
+    df = spark.createDataFrame(rows, "t string, v int, id string")
     assert df.agg(value_at_max("t", "v", "id")).first()[0] == "y"
     assert df.filter("t IS NULL").agg(value_at_max("t", "v", "id")).first()[0] is None
 

@@ -12,7 +12,7 @@ from trendmill.operators.tabletests import require_rows, run_table_tests
 from trendmill.plans import checks, gold, marts, staging
 from trendmill.plans.silver import silver_videos
 from trendmill.schemas import GOLD, GOLD_PARTITIONS, MART_PARTITIONS, SILVER, SILVER_PARTITIONS
-from trendmill.session import configure, discard_staged
+from trendmill.session import configure, discarding_staged
 from trendmill.sources.bronze import read_bronze, require_input
 from trendmill.sources.tables import (
     DEFAULT_FORMAT,
@@ -64,23 +64,27 @@ def build_silver(bronze: DataFrame, lake: Lake, grain: str = "day") -> int:
     return rows
 
 
-def gold_tables(snaps: DataFrame, group_rows: int) -> dict[str, DataFrame]:
+def gold_tables(
+    snaps: DataFrame, group_rows: int, max_group_rows: int = MAX_GROUP_ROWS
+) -> dict[str, DataFrame]:
     """``group_rows`` bounds the rows of ``snaps`` per region and day.
 
     Titles beyond the arrays of the channel statistics get a table of their own, if there are any.
     """
     overflow = {}
-    if group_rows > MAX_GROUP_ROWS:
-        overflow["channel_titles"] = gold.channel_titles(snaps, MAX_GROUP_ROWS)
+    if group_rows > max_group_rows:
+        overflow["channel_titles"] = gold.channel_titles(snaps, max_group_rows)
     return overflow | {
-        "daily_trending_rank": gold.daily_trending_rank(snaps, group_rows),
+        "daily_trending_rank": gold.daily_trending_rank(snaps, group_rows, max_group_rows=max_group_rows),
         "category_stats": gold.category_stats(snaps),
-        "channel_stats": gold.channel_stats(snaps, group_rows),
+        "channel_stats": gold.channel_stats(snaps, group_rows, max_group_rows),
         "view_velocity": gold.view_velocity(snaps),
     }
 
 
-def build_gold(spark: SparkSession, lake: Lake, day: str | None = None) -> dict[str, int]:
+def build_gold(
+    spark: SparkSession, lake: Lake, day: str | None = None, max_group_rows: int = MAX_GROUP_ROWS
+) -> dict[str, int]:
     """TB2-TB5, SK2. Each table is one read of the needed silver columns and one write.
 
     With ``day`` only that day's partitions are replaced; growth looks back at the earlier days.
@@ -89,7 +93,7 @@ def build_gold(spark: SparkSession, lake: Lake, day: str | None = None) -> dict[
     require_input(silver, "gold")
     history = gold.snapshots(silver)
     snaps = gold.snapshots(silver, day)
-    tables = gold_tables(snaps, largest_group(snaps, gold.DAY))
+    tables = gold_tables(snaps, largest_group(snaps, gold.DAY), max_group_rows)
     if day is not None:
         tables["view_velocity"] = gold.view_velocity_on(history, day)
     rows = {}
@@ -115,28 +119,35 @@ def staging_views(gold_layer: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return views
 
 
-def mart_tables(stg: dict[str, DataFrame], group_rows: int | None = None) -> dict[str, DataFrame]:
+def mart_tables(
+    stg: dict[str, DataFrame], group_rows: int, max_group_rows: int = MAX_GROUP_ROWS
+) -> dict[str, DataFrame]:
+    """``group_rows`` bounds the rows of every staging table per region and day."""
+    scale = {"group_rows": group_rows, "max_group_rows": max_group_rows}
     return {
         "fct_trending_leaderboard": marts.fct_trending_leaderboard(stg["stg_daily_trending_rank"]),
-        "fct_top_channels": marts.fct_top_channels(stg["stg_channel_stats"], group_rows),
-        "fct_category_performance": marts.fct_category_performance(stg["stg_category_stats"], group_rows),
-        "fct_momentum_videos": marts.fct_momentum_videos(stg["stg_view_velocity"], group_rows),
+        "fct_top_channels": marts.fct_top_channels(stg["stg_channel_stats"], **scale),
+        "fct_category_performance": marts.fct_category_performance(stg["stg_category_stats"], **scale),
+        "fct_momentum_videos": marts.fct_momentum_videos(stg["stg_view_velocity"], **scale),
     }
 
 
-def build_marts(spark: SparkSession, lake: Lake, stg: dict[str, DataFrame], group_rows: int | None) -> Run:
+def build_marts(spark: SparkSession, lake: Lake, max_group_rows: int = MAX_GROUP_ROWS) -> Run:
     """TB10-TB13, SK3, then the declared tests of all tables, then the row gate (DQ18-20)."""
     run = Run()
+    layer = read_gold(spark, lake)
+    stg = staging_views(layer)
+    bound = largest_group(layer["daily_trending_rank"], gold.DAY)
     built = {}
-    for name, df in mart_tables(stg, group_rows).items():
+    for name, df in mart_tables(stg, bound, max_group_rows).items():
         path = lake.path("marts", name)
         order = [column for column in marts.REPORT_ORDER[name] if column not in MART_PARTITIONS]
         run.rows[name] = write_table(df, path, MART_PARTITIONS, order, lake.fmt)
-        built[name] = spark.read.format(lake.fmt).schema(df.schema).load(path)
+        built[name] = read_table(spark, path, df.schema, lake.fmt)
         if lake.database:
             database = database_for(lake.mart_database, lake.database)
             register_table(spark, f"{database}.{name}", path, lake.fmt)
-    tests = run_table_tests(read_gold(spark, lake) | stg | built, checks.NOT_NULL, checks.ACCEPTED)
+    tests = run_table_tests(layer | stg | built, checks.NOT_NULL, checks.ACCEPTED)
     failed = tests.filter("should_error").collect()
     run.failed_tests = [f"{row.test}_{row.table_name}_{row.column_name}" for row in failed]
     require_rows(built)
@@ -150,20 +161,22 @@ def run_daily(
     grain: str = "day",
     day: str | None = None,
     fail_on_error: bool = True,
+    max_group_rows: int = MAX_GROUP_ROWS,
     on_step: Callable[[str], None] = lambda step: None,
 ) -> Run:
-    """All steps in order; any failure stops the run."""
+    """All steps in order; any failure stops the run.
+
+    ``max_group_rows`` is the largest group of one region and day that one task may have to sort.
+    """
     configure(spark)
     bronze = read_bronze(spark, bronze_path)
     on_step("validate")
     warnings = validate_layer(bronze, str(bronze_path), lake, fail_on_error)
     on_step("silver")
     rows = {"silver_videos": build_silver(bronze, lake, grain)}
-    on_step("gold")
-    rows |= build_gold(spark, lake, day)
-    on_step("marts")
-    layer = read_gold(spark, lake)
-    bound = largest_group(layer["daily_trending_rank"], gold.DAY)
-    run = build_marts(spark, lake, staging_views(layer), bound)
-    discard_staged(spark)
+    with discarding_staged(spark):
+        on_step("gold")
+        rows |= build_gold(spark, lake, day, max_group_rows)
+        on_step("marts")
+        run = build_marts(spark, lake, max_group_rows)
     return Run(rows | run.rows, warnings, run.failed_tests)

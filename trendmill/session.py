@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,9 +58,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard_staged(spark: SparkSession) -> None:
-    """Delete what this process has staged. Frames that read it must not be used any more."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    while _staged:
-        path = hadoop.Path(_staged.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def discarding_staged(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was staged inside. Frames that read it must not be used after that."""
+    already = len(_staged)
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        while len(_staged) > already:
+            path = hadoop.Path(_staged.pop())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

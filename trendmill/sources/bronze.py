@@ -106,6 +106,6 @@ def ingest_summary(decoded: DataFrame) -> DataFrame:
     )
 
 
-def land(records: DataFrame, path: str, mode: str = "append") -> None:
-    """SK6, FN26: write records as JSON lines."""
-    records.write.mode(mode).json(path)
+def land(records: DataFrame, path: str, mode: str = "append", rows_per_file: int = 0) -> None:
+    """SK6, FN26: write records as JSON lines; ``rows_per_file`` limits the files, 0 does not."""
+    records.write.mode(mode).option("maxRecordsPerFile", rows_per_file).json(path)

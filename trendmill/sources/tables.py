@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 DEFAULT_FORMAT = "parquet"
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """SC3. The declared schema fixes the types of partition columns as well."""
+def read_table(
+    spark: SparkSession, path: str, schema: str | StructType | None = None, fmt: str = DEFAULT_FORMAT
+) -> DataFrame:
+    """SC3. The declared schema fixes the types of partition columns as well.
+
+    Formats that keep a schema of their own are read with that.
+    """
     reader = spark.read.format(fmt)
     if schema is not None and fmt == DEFAULT_FORMAT:
         reader = reader.schema(schema)

@@ -1,13 +1,13 @@
 """ST1: incremental feed from landed JSON files to the current records per key.
 
-The state table holds the latest record per key, also those that cannot be published, because a bad
-record must keep hiding the older ones of its key. It is partitioned by a column that depends on the
-key alone, so that a batch touches known partitions: the snapshot date for the daily grain, a hash
-bucket for the latest grain.
-
-A batch is merged into its partitions in two steps. The merged rows are first written aside and
-marked complete, then they replace the partitions. A batch that is run again after a crash finds the
-mark and only repeats the second step, so no crash can lose the rows being replaced.
+The state table holds the latest record per video, region and day, also those that cannot be
+published, because a bad record must keep hiding the older ones of its key. It is partitioned by the
+day. The day belongs to the key, so a batch can only change the days it has records of, and however
+large the history is, only those are read and written.
+
+A batch is merged into its days in two steps. The merged rows are first written aside and marked
+complete, then they replace the days. A batch that is run again after a crash finds the mark and only
+repeats the second step, so no crash can lose the rows being replaced.
 """
 
 from __future__ import annotations
@@ -21,11 +21,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from trendmill.operators.filters import partition_safe
-from trendmill.plans.silver import ENTITY, SNAPSHOT, latest_records, newest, typed
-from trendmill.schemas import BRONZE, SILVER_PARTITIONS
-
-BUCKET = "key_bucket"
-DEFAULT_BUCKETS = 64
+from trendmill.plans.silver import SNAPSHOT, latest_records, newest, typed
+from trendmill.schemas import BRONZE, BRONZE_COLUMNS, SILVER_PARTITIONS
 
 
 @dataclass(frozen=True)
@@ -33,12 +30,6 @@ class Feed:
     """Folders of one feed below a shared root."""
 
     root: str
-    grain: str = "day"
-    buckets: int = DEFAULT_BUCKETS
-
-    @property
-    def unit(self) -> str:
-        return SNAPSHOT if self.grain == "day" else BUCKET
 
     @property
     def state(self) -> str:
@@ -49,79 +40,70 @@ class Feed:
         return f"{self.root}/merged"
 
     @property
-    def mark(self) -> str:
-        return f"{self.root}/mark"
+    def marks(self) -> str:
+        return f"{self.root}/marks"
 
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
 
 
-def stream_bronze(spark: SparkSession, source_dir: str, files_per_batch: int | None = None) -> DataFrame:
+def stream_bronze(spark: SparkSession, source: str, files_per_batch: int | None = None) -> DataFrame:
     """New JSON-lines files of a landing folder (or glob), as they arrive."""
     reader = spark.readStream.schema(BRONZE)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(source_dir)
+    return reader.json(source)
 
 
-def _with_unit(records: DataFrame, feed: Feed) -> DataFrame:
-    if feed.grain == "day":
-        return records
-    bucket = F.pmod(F.xxhash64(*ENTITY), F.lit(feed.buckets)).cast("int")
-    return records.withColumn(BUCKET, bucket)
+def _state_schema() -> StructType:
+    typed_time = BRONZE.replace("ingested_at STRING", "ingested_at TIMESTAMP")
+    return StructType.fromDDL(f"{typed_time}, {SNAPSHOT} DATE")
 
 
 def prepare_feed(spark: SparkSession, feed: Feed) -> None:
     """Create the empty state and the first mark of a new feed; an existing feed stays as it is."""
-    schema = StructType.fromDDL(f"{BRONZE}, {SNAPSHOT} DATE")
-    records = spark.createDataFrame([], schema)
-    records = records.withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
-    empty = _with_unit(records, feed)
-    empty.write.mode("ignore").partitionBy(feed.unit).parquet(feed.state)
+    empty = spark.createDataFrame([], _state_schema())
+    empty.write.mode("ignore").partitionBy(SNAPSHOT).parquet(feed.state)
     _mark(spark, feed, "first", -1, "ignore")
 
 
 def _mark(spark: SparkSession, feed: Feed, name: str, batch_id: int, mode: str) -> None:
     done = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"))
-    done.write.mode(mode).json(f"{feed.mark}/{name}")
+    done.write.mode(mode).json(f"{feed.marks}/{name}")
 
 
 def _is_marked(spark: SparkSession, feed: Feed, batch_id: int) -> bool:
-    marks = spark.read.schema("batch_id BIGINT").option("recursiveFileLookup", True).json(feed.mark)
+    marks = spark.read.schema("batch_id BIGINT").option("recursiveFileLookup", True).json(feed.marks)
     return not marks.filter(F.col("batch_id") == batch_id).isEmpty()
 
 
-def _replace_units(df: DataFrame, feed: Feed, path: str, mode: str) -> None:
+def _replace_days(df: DataFrame, path: str, mode: str) -> None:
+    """Overwrite all days (static) or those in ``df`` (dynamic); AQE splits a day too large for a task."""
     (
-        df.hint("rebalance", feed.unit)
+        df.hint("rebalance", SNAPSHOT)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
-        .partitionBy(feed.unit)
+        .partitionBy(SNAPSHOT)
         .parquet(path)
     )
 
 
 def merge_batch(batch: DataFrame, batch_id: int, feed: Feed) -> None:
     """Merge one batch of bronze records into the state. Running a batch twice changes nothing."""
-    spark = batch.sparkSession
-    fresh = _with_unit(latest_records(batch, feed.grain), feed)
-    columns = [name for name in fresh.columns if name != feed.unit]
-    fresh = fresh.select(*columns, feed.unit)
+    spark, schema = batch.sparkSession, _state_schema()
     if not _is_marked(spark, feed, batch_id):
-        fresh.persist(StorageLevel.DISK_ONLY)
-        # As many values as the batch has days, or as there are buckets.
-        units = [row[0] for row in fresh.select(feed.unit).distinct().collect()]
-        touched = F.col(feed.unit).isin([unit for unit in units if unit is not None])
-        if None in units:
-            touched = touched | F.col(feed.unit).isNull()
-        current = spark.read.schema(fresh.schema).parquet(feed.state).filter(touched)
-        merged = newest(current.unionByName(fresh), feed.grain)
-        _replace_units(merged, feed, feed.merged, "static")
+        fresh = latest_records(batch).select(*BRONZE_COLUMNS, SNAPSHOT).persist(StorageLevel.DISK_ONLY)
+        # A batch has few days; their dates become literals, which prune the partitions of the state.
+        days = [row[0] for row in fresh.select(SNAPSHOT).distinct().collect()]
+        touched = F.col(SNAPSHOT).isin([day for day in days if day is not None])
+        if None in days:
+            touched = touched | F.col(SNAPSHOT).isNull()
+        current = spark.read.schema(schema).parquet(feed.state).filter(touched)
+        _replace_days(newest(current.unionByName(fresh), "day"), feed.merged, "static")
         _mark(spark, feed, "last", batch_id, "overwrite")
         fresh.unpersist()
-    merged = spark.read.schema(fresh.schema).parquet(feed.merged)
-    _replace_units(merged, feed, feed.state, "dynamic")
+    _replace_days(spark.read.schema(schema).parquet(feed.merged), feed.state, "dynamic")
 
 
 def start_feed(bronze: DataFrame, feed: Feed) -> StreamingQuery:
@@ -135,7 +117,12 @@ def start_feed(bronze: DataFrame, feed: Feed) -> StreamingQuery:
     )
 
 
-def feed_silver(spark: SparkSession, feed: Feed) -> DataFrame:
-    """The silver table as of the last batch; equals the batch build over all files so far."""
-    records = spark.read.parquet(feed.state)
+def feed_silver(spark: SparkSession, feed: Feed, grain: str = "day") -> DataFrame:
+    """The silver table as of the last batch; equals the batch build over all files so far.
+
+    The coarser grain is the latest of the daily records, found when it is read.
+    """
+    records = spark.read.schema(_state_schema()).parquet(feed.state)
+    if grain != "day":
+        records = newest(records, grain)
     return partition_safe(typed(records), SILVER_PARTITIONS)
