@@ -88,7 +88,7 @@ def test_large_groups_give_the_same_tables(spark, run, landed, tmp_path):
     lake, result = run
     split = daily.Lake(str(tmp_path))
     before = set(Path(scratch_root(spark), "trendmill").glob("cells-*"))
-    rows = daily.run_daily(spark, landed, split, fail_on_error=False, max_group_rows=3).rows
+    rows = daily.run_daily(spark, landed, split, fail_on_error=False, max_group_rows=10).rows
     assert rows.pop("channel_titles") == 0 and rows == result.rows
     names = [("gold", name) for name in daily.GOLD] + [("marts", name) for name in marts.REPORT_ORDER]
     for layer, name in names:

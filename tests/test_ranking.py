@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trendmill.operators import ranking, scale
 from trendmill.operators.aggregates import join_totals, share_of_total, value_at_max, window_totals
 
-WINDOW, CELLS = 10**9, 5
+WINDOW, CELLS = 10**9, 100
 
 
 def skewed_rows(n=900, seed=3):

@@ -130,3 +130,8 @@ def test_stage_uses_the_shared_folder(spark):
     staged = stage(spark.range(5), "numbers")
     assert staged.count() == 5
     assert all(scratch_root(spark) in f for f in staged.inputFiles())
+
+
+def test_answers_are_parsed_once(spark):
+    flat = bronze.flatten_payload(bronze.decode_payload(payloads(spark, "{}")))
+    assert flat._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1

@@ -49,11 +49,16 @@ def decode_payload(payloads: DataFrame, text: str = "payload") -> DataFrame:
 
 
 def flatten_payload(decoded: DataFrame) -> DataFrame:
-    """SC6, FN21-24, PR7: one bronze record per item of every readable answer."""
+    """SC6, FN21-24, PR7: one bronze record per item of every readable answer.
+
+    The outer explode keeps Spark from inferring a filter on the array, which it would push below
+    the parsing and so parse every answer again.
+    """
     item = F.col("item")
     snippet, statistics = item["snippet"], item["statistics"]
     views, likes, comments = [count_text_to_long(statistics[name]) for name in COUNTS]
-    return decoded.withColumn("item", F.explode("items")).select(
+    items = decoded.withColumn("item", F.explode_outer("items")).filter(item.isNotNull())
+    return items.select(
         item["id"].alias("video_id"),
         snippet["channelId"].alias("channel_id"),
         "region",
