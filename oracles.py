@@ -6,6 +6,8 @@ records up to the marts, of which each query selects one.
 
 from __future__ import annotations
 
+from trendmill.schemas import SOURCE
+
 
 def half_up(expression: str, digits: int) -> str:
     """Round the decimal rendering of a double half up, as Spark does."""
@@ -13,7 +15,7 @@ def half_up(expression: str, digits: int) -> str:
     return f"CAST(round({exact}, {digits}) AS DOUBLE)"
 
 
-BRONZE = r"""
+BRONZE = rf"""
 bronze AS (
   SELECT
     event_id, ts,
@@ -38,7 +40,7 @@ bronze AS (
     CASE WHEN event_id % 89 = 0 THEN NULL
          ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS like_count,
     event_id % 50 AS comment_count,
-    'youtube_trending' AS source,
+    '{SOURCE}' AS source,
     '1.0' AS pipeline_version
   FROM events
 )"""
@@ -299,7 +301,7 @@ def _checks() -> str:
     rows.append(("region_in_expected_set", True, "region IS NULL", "region NOT IN ('US','GB','IN','CA')", 1.0))
     for column in ["view_count", "like_count", "comment_count"]:
         rows.append((f"{column}_non_negative", True, f"{column} IS NULL", f"{column} < 0", 1.0))
-    rows.append(("source_is_youtube_trending", True, "source IS NULL", "source <> 'youtube_trending'", 1.0))
+    rows.append((f"source_is_{SOURCE}", True, "source IS NULL", f"source <> '{SOURCE}'", 1.0))
     for column, pattern in [
         ("published_at", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"),
         ("ingested_at", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"),

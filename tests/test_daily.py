@@ -16,7 +16,17 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def events_bronze(spark):
-    return bronze_from_events(read_events(spark, SF_DIR))
+    """The records of five days, one with an unknown category; few partitions keep the runs short."""
+    return bronze_from_events(read_events(spark, SF_DIR).filter("ts >= '2024-01-13' AND ts < '2024-01-18'"))
+
+
+@pytest.fixture(scope="module")
+def expected_rows(events_bronze):
+    silver = silver_videos(events_bronze)
+    layer = daily.gold_tables(gold.snapshots(silver), 1)
+    stg = {name: build(layer[source]) for name, (source, build) in staging.STAGING.items()}
+    tables = {"silver_videos": silver} | layer | daily.mart_tables(stg, 1)
+    return {name: df.count() for name, df in tables.items()}
 
 
 @pytest.fixture(scope="module")
@@ -35,10 +45,9 @@ def run(spark, landed, tmp_path_factory):
     return lake, result
 
 
-def test_rows_written(spark, run):
+def test_rows_written(spark, run, expected_rows):
     lake, result = run
-    assert result.rows["silver_videos"] == result.rows["daily_trending_rank"] == result.rows["view_velocity"] == 627
-    assert len(result.rows) == 9
+    assert result.rows == expected_rows and min(expected_rows.values()) > 0
     for name, rows in result.rows.items():
         layer = "silver" if name.startswith("silver") else "marts" if name.startswith("fct") else "gold"
         table = "videos" if layer == "silver" else name
@@ -46,10 +55,13 @@ def test_rows_written(spark, run):
 
 
 def test_tables_are_registered(spark, run):
-    assert spark.table("lake.silver_videos").count() == 627
-    assert spark.table("lake.gold_category_stats").count() == 627
-    assert spark.table("lake_marts.fct_momentum_videos").count() == 560
-    assert spark.sql("SELECT count(*) FROM stg_channel_stats").first()[0] == 627
+    _, result = run
+    names = {"silver_videos": "lake.silver_videos", "category_stats": "lake.gold_category_stats"}
+    names |= {name: f"lake_marts.{name}" for name in marts.REPORT_ORDER}
+    assert {name: spark.table(table).count() for name, table in names.items()} == {
+        name: result.rows[name] for name in names
+    }
+    assert spark.sql("SELECT count(*) FROM stg_channel_stats").first()[0] == result.rows["channel_stats"]
 
 
 def test_only_unknown_categories_fail_tests(run):
@@ -72,7 +84,7 @@ def test_empty_input_keeps_the_old_table(spark, run):
     lake, _ = run
     with pytest.raises(EmptyInput):
         daily.build_silver(spark.createDataFrame([], "video_id string"), lake)
-    assert spark.read.parquet(lake.path("silver", "videos")).count() == 627
+    assert spark.read.parquet(lake.path("silver", "videos")).count() == run[1].rows["silver_videos"]
 
 
 def test_rerun_changes_nothing(spark, run, landed):
@@ -88,7 +100,7 @@ def test_large_groups_give_the_same_tables(spark, run, landed, tmp_path):
     lake, result = run
     split = daily.Lake(str(tmp_path))
     before = set(Path(scratch_root(spark), "trendmill").glob("cells-*"))
-    rows = daily.run_daily(spark, landed, split, fail_on_error=False, max_group_rows=10).rows
+    rows = daily.run_daily(spark, landed, split, fail_on_error=False, max_group_rows=3).rows
     assert rows.pop("channel_titles") == 0 and rows == result.rows
     names = [("gold", name) for name in daily.GOLD] + [("marts", name) for name in marts.REPORT_ORDER]
     for layer, name in names:
@@ -105,7 +117,7 @@ def test_one_day_is_rebuilt_in_place(spark, run):
     before = {n: df.count() for n, df in daily.read_gold(spark, lake).items()}
     velocity = daily.read_gold(spark, lake)["view_velocity"].drop("_gold_processed_at")
     expected = sorted(map(str, velocity.collect()))
-    rows = daily.build_gold(spark, lake, "2024-01-10")
+    rows = daily.build_gold(spark, lake, "2024-01-16")
     assert 0 < rows["view_velocity"] < result.rows["view_velocity"]
     assert {n: df.count() for n, df in daily.read_gold(spark, lake).items()} == before
     velocity = daily.read_gold(spark, lake)["view_velocity"].drop("_gold_processed_at")

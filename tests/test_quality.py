@@ -100,6 +100,8 @@ def test_report(spark, tmp_path):
     assert (report["total_expectations"], report["passed"]) == (15, 14)
     assert (report["critical_failures"], report["warning_failures"]) == (1, 0)
     assert (report["overall_success"], report["bronze_path"], report["run_timestamp"]) == (False, "in", "stamp")
+    regions = next(r for r in report["results"] if r["expectation"] == "region_in_expected_set")
+    assert (regions["success"], regions["critical"], regions["result"]["unexpected_percent"]) == (False, True, 50.0)
     assert [r["expectation"] for r in report["results"]] == [e.name for e in checks.bronze_expectations()]
 
 

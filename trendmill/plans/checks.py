@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendmill.functions.measures import percent, safe_ratio
 from trendmill.operators.quality import (
     SUMMARY,
     Expectation,
@@ -91,7 +92,14 @@ def run_timestamp() -> str:
 
 def report_document(results: DataFrame, source_path: str, stamp: str) -> DataFrame:
     """FN26, SC7: the report as one row with one JSON text; the results keep their order."""
-    detail = F.struct("element_count", "missing_count", "unexpected_count")
+    checked = F.col("element_count") - F.col("missing_count")
+    detail = F.struct(
+        "element_count",
+        "missing_count",
+        "unexpected_count",
+        percent(safe_ratio(F.col("missing_count"), F.col("element_count")), 4).alias("missing_percent"),
+        percent(safe_ratio(F.col("unexpected_count"), checked), 4).alias("unexpected_percent"),
+    )
     entry = F.struct("expectation", "critical", "success", detail.alias("result"))
     document = F.struct(
         F.lit(stamp).alias("run_timestamp"),
