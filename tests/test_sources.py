@@ -135,3 +135,16 @@ def test_stage_uses_the_shared_folder(spark):
 def test_answers_are_parsed_once(spark):
     flat = bronze.flatten_payload(bronze.decode_payload(payloads(spark, "{}")))
     assert flat._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+
+
+def test_large_partition_is_written_by_several_tasks(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64KB")
+    try:
+        df = spark.range(0, 200_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, "small").otherwise("hot").alias("p"), F.xxhash64("id").alias("v")
+        )
+        assert tables.write_table(df, str(tmp_path / "t"), ["p"], ["v"]) == 200_000
+    finally:
+        spark.conf.unset(size)
+    assert len(list((tmp_path / "t" / "p=hot").glob("*.parquet"))) > 1
