@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +18,7 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-_local_scratch: dict[str, str] = {}
-_staged: list[str] = []
+_run: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -31,7 +31,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a temporary folder of its own.
+    Only a local session may go without that setting; it then uses its warehouse folder.
     """
     context = spark.sparkContext
     root = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -39,12 +39,12 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    return _local_scratch.setdefault(context.applicationId, tempfile.mkdtemp(prefix="trendmill-"))
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{scratch_root(spark)}/trendmill/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses, below the folder of the run around it."""
+    return f"{_run.get() or f'{scratch_root(spark)}/trendmill'}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -54,18 +54,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, by the file system it is on."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete what ``stage`` stored; neither the frame nor what was built on it may be used after that."""
+    for path in {os.path.dirname(name) for name in staged.inputFiles()}:
+        remove(staged.sparkSession, path)
+
+
 @contextmanager
-def discarding_staged(spark: SparkSession) -> Iterator[None]:
-    """Delete on leaving what was staged inside. Frames that read it must not be used after that."""
-    already = len(_staged)
+def discarding_staged(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that is staged inside, deleted on leaving. Frames that read it must not be used after that."""
+    path = scratch_path(spark, "run")
+    token = _run.set(path)
     try:
-        yield
+        yield path
     finally:
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        while len(_staged) > already:
-            path = hadoop.Path(_staged.pop())
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _run.reset(token)
+        remove(spark, path)
