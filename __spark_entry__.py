@@ -26,6 +26,13 @@ from trendmill.sources.events import bronze_from_events, payloads_from_events, r
 from trendmill.sources.tables import read_table, write_table
 from trendmill.streaming.feed import Feed, feed_silver, start_feed, stream_bronze
 
+try:
+    import trendmill.llm.queries as llm
+except ModuleNotFoundError as error:  # the folder of these operators may be taken away
+    if not str(error.name).startswith(("trendmill.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -296,10 +303,9 @@ def queries() -> dict[str, Query]:
         dq_value_histogram, dq_row_counts, partitioned_roundtrip, json_lines_roundtrip,
         incremental_silver, incremental_latest_only,
     ]
-    return {query.__name__: query for query in registered} | {
-        name: _staging_query(name) for name in staging.STAGING
-    }
+    named = {query.__name__: query for query in registered}
+    return named | {name: _staging_query(name) for name in staging.STAGING} | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.sql()
+    return oracles.sql() | (llm.oracle_sql() if llm else {})
