@@ -12,3 +12,11 @@ from trendmill.llm.words import read
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.near_duplicates(simhash.fingerprints(read(spark, sf_dir, "documents")))
     return marked.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
+def queries() -> dict:
+    return {name: query for name, query in globals().items() if name.startswith("op")}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
