@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import simhash
+from trendmill.llm import sharding, simhash, warc
 from trendmill.llm.words import read
 
 
@@ -14,9 +14,38 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = warc.archive(read(spark, sf_dir, "pages"))
+    whole = chunks.where("last")
+    return whole.select(
+        "page_id", F.col("bytes_so_far").alias("payload_bytes"), F.col("digest_so_far").alias("payload_digest"),
+        "record_type", "refers_to", "intact",
+    )
+
+
+def op9_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shard_rows(read(spark, sf_dir, "documents"), 16)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+OP5_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+sized AS (
+    SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+           max(page_id) OVER (PARTITION BY payload) AS first
+    FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < first THEN first END AS refers_to,
+       TRUE AS intact
+FROM sized
+"""
+
+
 def queries() -> dict:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_warc": OP5_SQL}
