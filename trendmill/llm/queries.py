@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import sharding, simhash, warc
+from trendmill.llm import rules, sharding, simhash, warc
 from trendmill.llm.words import read
 
 
@@ -28,6 +28,12 @@ def op9_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rules.judged(read(spark, sf_dir, "documents"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return rows.select("doc_id", *base, "base_failed", "kept", "posterior")
+
+
 OP5_SQL = """
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 sized AS (
