@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import rules, sharding, simhash, substrings, warc
+from trendmill.llm import quality, rules, sharding, simhash, substrings, warc
 from trendmill.llm.words import read
 
 
@@ -23,6 +23,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substrings.without_repeats(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

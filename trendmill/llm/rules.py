@@ -96,7 +96,8 @@ def _lines(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return count, count - np.bincount(distinct, minlength=n), np.bincount(text_of[ended], minlength=n)
 
 
-def _statistics(texts: pa.Array) -> list[np.ndarray]:
+def text_statistics(texts: pa.Array) -> list[np.ndarray]:
+    """STATS of the texts, an array each."""
     words = Words(texts)
     data, n = words.data, len(texts)
     codes, distinct = words.codes()
@@ -124,7 +125,7 @@ def statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """doc_id and STATS of each whole text; null has no words, and all its counts are zero."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = [pa.array(np.asarray(x).astype(np.int64)) for x in _statistics(batch["text"])]
+        columns = [pa.array(np.asarray(x).astype(np.int64)) for x in text_statistics(batch["text"])]
         return pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", *STATS])
 
     rows = texts_only(docs, id_column, text_column).withColumn("doc_id", F.col("doc_id").cast("long"))

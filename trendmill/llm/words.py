@@ -48,7 +48,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             yield batch.slice(start, end - start)
 
 
-def per_slice(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType) -> DataFrame:
+def per_slice(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str) -> DataFrame:
     """Apply ``work`` to every slice of the rows, in the tasks that read them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
