@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import quality, rules, sharding, simhash, substrings, warc
+from trendmill.llm import quality, rules, sharding, simhash, substrings, tokencounts, warc
 from trendmill.llm.words import read
 
 
@@ -14,6 +14,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = tokencounts.token_counts(read(spark, sf_dir, "documents"))
+    return tokencounts.with_suffix_sums(tokencounts.histogram(counts))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = warc.archive(read(spark, sf_dir, "pages"))
     whole = chunks.where("last")
