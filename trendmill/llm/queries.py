@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import quality, rules, sharding, simhash, substrings, tokencounts, warc
+from trendmill.llm import pieces, quality, rules, sharding, simhash, substrings, tokencounts, warc
 from trendmill.llm.words import read
 
 
@@ -19,6 +19,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.with_suffix_sums(tokencounts.histogram(counts))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(read(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = warc.archive(read(spark, sf_dir, "pages"))
     whole = chunks.where("last")

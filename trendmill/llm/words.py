@@ -36,13 +36,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The rows in slices of about SLICE_BYTES of text; a longer text is a slice of its own."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of about ``limit`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
         size = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        group = (np.cumsum(size) - size) // SLICE_BYTES
+        group = (np.cumsum(size) - size) // limit
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts[:-1], cuts[1:], strict=True):
             yield batch.slice(start, end - start)
