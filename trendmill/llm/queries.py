@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import pieces, quality, rules, sharding, simhash, substrings, tokencounts, warc
+from trendmill.llm import decontamination, pieces, quality, rules, sharding, simhash, substrings, tokencounts, warc
 from trendmill.llm.words import read
 
 
@@ -19,6 +19,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.with_suffix_sums(tokencounts.histogram(counts))
 
 
+def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(read(spark, sf_dir, "documents"))
 
