@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import decontamination, pieces, quality, rules, sharding, simhash, substrings, tokencounts, warc
+from trendmill.llm import decontamination, pieces, pii, quality, rules, sharding, simhash, substrings, tokencounts, warc
 from trendmill.llm.words import read
 
+PII_KEY = "a key of the pipeline's own"  # a secret of the deployment, where results leave it
+
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.near_duplicates(simhash.fingerprints(read(spark, sf_dir, "documents")))
@@ -46,6 +48,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", pii.replaced("text", PII_KEY).alias("new"))
+    return docs.select("doc_id", "new.text", "new.n_matches", "new.n_replaced")
+
+
 def op9_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_rows(read(spark, sf_dir, "documents"), 16)
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
