@@ -27,11 +27,12 @@ from trendmill.sources.tables import read_table, write_table
 from trendmill.streaming.feed import Feed, feed_silver, start_feed, stream_bronze
 
 try:
+    import corpus_pipeline
     import trendmill.llm.queries as llm
 except ModuleNotFoundError as error:  # the folder of these operators may be taken away
     if not str(error.name).startswith(("trendmill.llm", "corpus_pipeline")):
         raise
-    llm = None
+    corpus_pipeline = llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -304,8 +305,10 @@ def queries() -> dict[str, Query]:
         incremental_silver, incremental_latest_only,
     ]
     named = {query.__name__: query for query in registered}
-    return named | {name: _staging_query(name) for name in staging.STAGING} | (llm.queries() if llm else {})
+    named |= {name: _staging_query(name) for name in staging.STAGING}
+    return named | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.sql() | (llm.oracle_sql() if llm else {})
+    known = oracles.sql() | (llm.oracle_sql() if llm else {})
+    return known | ({"pipeline": corpus_pipeline.ORACLE_SQL} if llm and corpus_pipeline.ORACLE_SQL else {})
