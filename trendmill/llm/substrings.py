@@ -7,7 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +23,6 @@ COUNTERS = 6
 HELD = 1 << 20  # anchors a task gathers before it sends them on
 
 BLOCKS = "block INT, counts BINARY"
-WINDOWS = "doc_id BIGINT, text_hash BIGINT, at INT, high BIGINT, low BIGINT"
-WINDOW_FIELDS = ["doc_id", "text_hash", "at", "high", "low"]
 KEPT = "doc_id BIGINT, n_words BIGINT, n_removed BIGINT, kept STRING"
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -125,100 +125,116 @@ def _sketched(rows: DataFrame, size: int, gram: int, blocks: int) -> list:
     return sent.mapInArrow(merge, BLOCKS).collect()
 
 
-def repeated_windows(rows: DataFrame, size: int = 20, gram: int = 8) -> DataFrame:
-    """doc_id, text_hash, at (number of its first word) and a 128-bit key of the windows that may be repeated.
+class Sketch:
+    """Which windows may be repeated: the broadcast bit per counter of the merged sketch, and its measures."""
 
-    rows: doc_id, text_hash, text. No repeated window is missing: the sketch never counts too low.
-    Its size follows the text up to MAX_BLOCKS; over still more text it lets more windows pass that
-    are not repeated, up to all, and results stay the same.
+    def __init__(self, bits: Broadcast, size: int, gram: int):
+        self.bits, self.size, self.gram = bits, size, gram
+
+    def windows(self, texts: pa.Array) -> tuple[Words, np.ndarray]:
+        """The words of the texts, and with which of them a window begins that may be repeated."""
+        bits = self.bits.value
+        windows = _Windows(texts, self.size, self.gram)
+        block, *places = _places(windows.anchors, len(bits))
+        often = np.ones(len(block), bool)
+        for row, place in enumerate(places):
+            byte = bits[block, row, place >> np.uint64(3)]
+            often &= (byte >> (np.uint8(7) - (place & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+        return windows.words, windows.begins[often]
+
+
+def sketch(rows: DataFrame, size: int = 20, gram: int = 8) -> Sketch:
+    """The sketch of all windows of the column text, on its way to the tasks.
+
+    It never counts too low, so no repeated window is missing. Its size follows the text up to
+    MAX_BLOCKS; over still more text it lets more windows pass that are not repeated, up to all,
+    which costs time and changes no result.
     """
-    context = rows.sparkSession.sparkContext
     text_bytes = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     wanted = COUNTERS * text_bytes / BYTES_PER_ANCHOR / (1 << BLOCK_BITS)
     blocks = min(MAX_BLOCKS, 1 << max(0, math.ceil(math.log2(max(1, wanted)))))
     bits = np.zeros((blocks, 2, (1 << BLOCK_BITS) // 8), np.uint8)
     for block, counts in _sketched(rows, size, gram, blocks):
         bits[block] = np.frombuffer(counts, np.uint8).reshape(2, -1)
-    shared = context.broadcast(bits)
+    return Sketch(rows.sparkSession.sparkContext.broadcast(bits), size, gram)
+
+
+def _keyed(rows: DataFrame, found: Sketch) -> DataFrame:
+    """A row for each window that may be repeated: 96 bits of XXH3 of its words, and where it is."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        twice = shared.value
         digest = xxhash.xxh3_128_digest
         for batch in slices(batches, "text"):
-            windows = _Windows(batch["text"], size, gram)
-            block, *places = _places(windows.anchors, blocks)
-            often = np.ones(len(block), bool)
-            for row, place in enumerate(places):
-                byte = twice[block, row, place >> np.uint64(3)]
-                often &= (byte >> (np.uint8(7) - (place & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-            begins = windows.begins[often]
+            words, begins = found.windows(batch["text"])
             if not len(begins):
                 continue
-            words = windows.words
             text, starts, ends = words.joined()
             view = memoryview(text)
-            spans = zip(starts[begins].tolist(), ends[begins + size - 1].tolist(), strict=True)
-            keys = np.frombuffer(b"".join([digest(view[s:e]) for s, e in spans]), ">i8").reshape(-1, 2).astype(np.int64)
+            spans = zip(starts[begins].tolist(), ends[begins + found.size - 1].tolist(), strict=True)
+            keys = np.frombuffer(b"".join([digest(view[s:e]) for s, e in spans]), ">i4").reshape(-1, 4).astype(np.int64)
             text_of = words.text_of[begins]
-            at = (begins - words.first[text_of]).astype(np.int32)
-            own = [batch[name].take(pa.array(text_of)) for name in ("doc_id", "text_hash")]
-            arrays = [*own, pa.array(at), pa.array(keys[:, 0]), pa.array(keys[:, 1])]
-            yield pa.RecordBatch.from_arrays(arrays, WINDOW_FIELDS)
+            at = (begins - words.first[text_of]).astype(np.int64)
+            variant = batch["variant"].to_numpy()[text_of]
+            arrays = [keys[:, 0] << 32 | keys[:, 1] & 0xFFFFFFFF, keys[:, 2].astype(np.int32), batch["place"].to_numpy()[text_of], at << 32 | variant]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["high", "low", "place", "at"])
 
-    return rows.select("doc_id", "text_hash", "text").mapInArrow(work, WINDOWS)
+    return rows.select("place", "variant", "text").mapInArrow(work, "high BIGINT, low INT, place BIGINT, at BIGINT")
 
 
-def _kept(rows: DataFrame, size: int) -> DataFrame:
-    """What is left of each text without the words of the windows that begin at ``later``."""
+def _kept(rows: DataFrame, found: Sketch) -> DataFrame:
+    """What is left of each text without the windows that may be repeated and do not begin at ``first``."""
     fields = ["doc_id", "n_words", "n_removed", "kept"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = found.size
         for batch in slices(batches, "text"):
-            words = Words(batch["text"])
-            later = batch["later"]
-            at = later.flatten().to_numpy()
-            lengths = np.diff(np.append(0, np.cumsum(np.nan_to_num(later.value_lengths().to_numpy(zero_copy_only=False))))).astype(np.int64)
-            at = at + np.repeat(words.first[:-1], lengths)
-            edge = np.zeros(len(words) + 1, np.int64)
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + size, -1)
+            words, begins = found.windows(batch["text"])
+            later = np.zeros(len(words) + 1, np.int64)
+            later[begins] = 1
+            lengths = pc.fill_null(pc.list_value_length(batch["first"]), 0).to_numpy(zero_copy_only=False)
+            later[batch["first"].flatten().to_numpy() + np.repeat(words.first[:-1], lengths)] = 0
+            edge = later.copy()
+            edge[size:] -= later[:-size] if len(later) > size else 0
             gone = np.cumsum(edge)[:-1] > 0
             removed = np.diff(np.append(0, np.cumsum(gone))[words.first])
-            kept = []
             text, starts, ends = words.joined()
-            whole = text.tobytes()
+            whole, kept = text.tobytes(), []
             for i in range(batch.num_rows):
-                first, beyond = words.first[i], words.first[i + 1]
-                if first == beyond:
-                    kept.append(b"")
-                elif not removed[i]:
-                    kept.append(whole[starts[first] : ends[beyond - 1]])
+                start, beyond = words.first[i], words.first[i + 1]
+                if not removed[i]:
+                    kept.append(whole[starts[start] : ends[beyond - 1]] if start < beyond else b"")
                 else:
-                    stay = first + np.flatnonzero(~gone[first:beyond])
+                    stay = start + np.flatnonzero(~gone[start:beyond])
                     pairs = zip(starts[stay].tolist(), ends[stay].tolist(), strict=True)
                     kept.append(b" ".join([whole[s:e] for s, e in pairs]))
             arrays = [batch["doc_id"], pa.array(words.counts), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, fields)
 
-    return rows.select("doc_id", "text", "later").mapInArrow(work, KEPT)
+    return rows.select("doc_id", "text", "first").mapInArrow(work, KEPT)
 
 
 def without_repeats(docs: DataFrame, size: int = 20, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed and kept, the words that stay joined by one space, for each row of ``docs``.
 
     Removed is every word in a window of ``size`` words whose words also begin earlier: in a
-    document of smaller id (null comes last) or further up in the same one. Windows are those of the
-    whole input texts. Rows that repeat an id count as one document whose texts lie side by side:
-    windows at the same place do not come before each other. Null text has no words.
+    document of smaller id (null comes last, as the largest number would) or further up in the same
+    one. Windows are those of the whole input texts. Of rows that repeat an id with other texts, the
+    one further up is the first, and then that with the smaller hash of its text; rows that repeat
+    id and text are treated alike. Null text has no words.
+
+    The windows that the sketch lets pass are grouped once, for the first place of each. All others
+    of them are later ones, so only the first places go back to the documents.
     """
+    doc_id = F.col("doc_id").cast("long")
     rows = texts_only(docs, id_column, text_column).select(
-        F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text")
-    )
-    windows = stage(repeated_windows(rows, size), "windows")
-    place = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "at")
-    first = windows.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    first = stage(first.where("n > 1").drop("n"), "first")
-    later = windows.join(first, ["high", "low"]).where(place > F.col("first"))
-    marks = stage(later.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("later")), "later")
-    same = rows["doc_id"].eqNullSafe(marks["doc_id"]) & (rows["text_hash"] == marks["text_hash"])
-    return _kept(rows.join(marks, same, "left").select(rows["doc_id"], rows["text"], marks["later"]), size)
+        doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit((1 << 63) - 1)).alias("place"),
+        F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)).alias("variant"), F.coalesce("text", F.lit("")).alias("text"),
+    )
+    found = sketch(rows, size)
+    first = _keyed(rows, found).groupBy("high", "low").agg(F.min(F.struct("place", "at")).alias("first"))
+    marks = first.select(
+        F.col("first.place").alias("place"), F.col("first.at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("variant"),
+        F.shiftright("first.at", 32).cast("int").alias("at"),
+    )
+    marks = stage(marks.groupBy("place", "variant").agg(F.collect_list("at").alias("first")), "first")
+    return _kept(rows.join(marks, ["place", "variant"], "left"), found)
