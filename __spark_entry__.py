@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import oracles
@@ -13,17 +14,17 @@ from trendmill.functions.parsing import duration_seconds as seconds_of
 from trendmill.functions.parsing import to_timestamp
 from trendmill.operators.aggregates import distinct_values
 from trendmill.operators.aggregates import loss_accounting as losses
-from trendmill.operators.quality import duplicate_keys, summarize, violations
+from trendmill.operators.quality import SUMMARY, duplicate_keys, summarize, violations
 from trendmill.operators.scale import largest_group
 from trendmill.operators.tabletests import row_counts, run_table_tests, value_histogram
 from trendmill.plans import checks, daily, gold, marts, staging
-from trendmill.plans.silver import ENTITY, SNAPSHOT
+from trendmill.plans.silver import ENTITY, SNAPSHOT, latest_records
 from trendmill.plans.silver import silver_videos as build_silver
-from trendmill.schemas import SILVER, SILVER_PARTITIONS
+from trendmill.schemas import GOLD, GOLD_PARTITIONS, SILVER, SILVER_PARTITIONS
 from trendmill.session import configure, scratch_path, stage
 from trendmill.sources import bronze as raw
 from trendmill.sources.events import bronze_from_events, payloads_from_events, read_events
-from trendmill.sources.tables import read_table, write_table
+from trendmill.sources.tables import read_catalog, read_table, register_table, write_table
 from trendmill.streaming.feed import Feed, feed_silver, start_feed, stream_bronze
 
 try:
@@ -86,17 +87,17 @@ def _staging(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, build = staging.STAGING[name]
     snaps = _snaps(spark, sf_dir)
     make = getattr(gold, source)
-    if source in ("daily_trending_rank", "channel_stats"):
+    if source == "daily_trending_rank":
         return build(make(snaps, _day_bound(spark, sf_dir)))
     return build(make(snaps))
 
 
 def silver_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(build_silver(_bronze(spark, sf_dir)).drop("tags"))
+    return comparable(build_silver(_bronze(spark, sf_dir)))
 
 
 def silver_latest_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(build_silver(_bronze(spark, sf_dir), "latest").drop("tags"))
+    return comparable(build_silver(_bronze(spark, sf_dir), "latest"))
 
 
 def _latest(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
@@ -123,7 +124,7 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = raw.flatten_payload(_decoded(spark, sf_dir))
-    return comparable(flat.withColumn("tags_count", F.size("tags")).drop("tags"))
+    return comparable(flat.withColumn("tags_count", F.size("tags")))
 
 
 def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +149,7 @@ def category_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def channel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(gold.channel_stats(_snaps(spark, sf_dir), _day_bound(spark, sf_dir)))
+    return comparable(gold.channel_stats(_snaps(spark, sf_dir)))
 
 
 def channel_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,8 +170,8 @@ def fct_trending_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fct_top_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stg = _staging(spark, sf_dir, "stg_channel_stats")
-    return comparable(marts.fct_top_channels(stg, _day_bound(spark, sf_dir)))
+    bound = _day_bound(spark, sf_dir)
+    return comparable(marts.fct_top_channels(_staging(spark, sf_dir, "stg_channel_stats"), bound))
 
 
 def fct_top_channels_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,9 +220,24 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    declared = {e.name: e for e in checks.bronze_expectations()}
-    bad = violations(_bronze(spark, sf_dir), declared["duration_iso8601_format"])
-    return bad.select("video_id", "region", "duration")
+    """The violating rows of every not-null and value check, with the name of the check."""
+    bronze = _bronze(spark, sf_dir)
+    declared = [e for e in checks.bronze_expectations() if e.bad is not None]
+    found = [violations(bronze, e).select(F.lit(e.name).alias("expectation"), "video_id", "region", "ingested_at") for e in declared]
+    return reduce(DataFrame.unionByName, found)
+
+
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validation report as stored, without the stamp: totals, and each result in its order."""
+    path = scratch_path(configure(spark), "report")
+    checks.write_report(checks.report_document(dq_expectations(spark, sf_dir), "events", "now"), path)
+    kind = f"""bronze_path STRING, {", ".join(f"{name} BIGINT" for name in SUMMARY[:-1])}, overall_success BOOLEAN,
+        results ARRAY<STRUCT<expectation: STRING, critical: BOOLEAN, success: BOOLEAN, result: STRUCT<
+            element_count: BIGINT, missing_count: BIGINT, unexpected_count: BIGINT>>>"""
+    report = checks.read_report(spark, path).select(F.from_json("value", kind).alias("r")).select("r.*")
+    return report.select("bronze_path", *SUMMARY, F.posexplode("results").alias("position", "entry")).select(
+        "bronze_path", *SUMMARY, F.col("position").cast("bigint").alias("position"), "entry.expectation", "entry.result.unexpected_count"
+    )
 
 
 def _built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -242,7 +258,16 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_value_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return value_histogram(_staging(spark, sf_dir, "stg_view_velocity"), "momentum_label")
+    """Rows per value of every column whose values are tested."""
+    tables = _built(spark, sf_dir)
+    found = [
+        value_histogram(tables[table], column).select(
+            F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
+            F.col("value_field").cast("string").alias("value_field"), "n_records",
+        )
+        for table, column in checks.ACCEPTED
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +277,7 @@ def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(configure(spark), "roundtrip")
     write_table(build_silver(_bronze(spark, sf_dir)), path, SILVER_PARTITIONS)
-    return comparable(read_table(spark, path, SILVER).drop("tags"))
+    return comparable(read_table(spark, path, SILVER))
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> str:
@@ -266,15 +291,19 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
 def json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = raw.read_bronze(spark, _landed(spark, sf_dir))
     tags_count = F.when(F.col("tags").isNull(), -1).otherwise(F.size("tags"))
-    return comparable(landed.withColumn("tags_count", tags_count).drop("tags"))
+    return comparable(landed.withColumn("tags_count", tags_count))
 
 
-def _incremental(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
+def _fed(spark: SparkSession, sf_dir: str) -> Feed:
     landed = _landed(spark, sf_dir)
     files = len(raw.read_bronze(spark, landed).inputFiles())
     feed = Feed(scratch_path(spark, "feed"))
     start_feed(stream_bronze(spark, landed, math.ceil(files / 2)), feed).awaitTermination()
-    return comparable(feed_silver(spark, feed, grain).drop("tags"))
+    return feed
+
+
+def _incremental(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
+    return comparable(feed_silver(spark, _fed(spark, sf_dir), grain))
 
 
 def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +314,86 @@ def incremental_latest_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _incremental(spark, sf_dir, "latest")
 
 
+def latest_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest record per day where all records of a day have one time and some counts are missing."""
+    bronze = _bronze(spark, sf_dir)
+    day = F.concat(F.substring("ingested_at", 1, 10), F.lit("T00:00:00.000000Z"))
+    shifted = bronze.withColumn("ingested_at", day).withColumn(
+        "comment_count", F.when(F.col("like_count").isNotNull(), F.col("comment_count"))
+    )
+    return comparable(latest_records(shifted).select(*ENTITY, SNAPSHOT, "title", "description", "view_count", "like_count", "comment_count"))
+
+
+LATE_DAY = "2024-01-16"
+
+
+def _late_lake(spark: SparkSession, sf_dir: str) -> daily.Lake:
+    """A lake built without some records of a day, and with a region that this day later loses; then the day is replaced."""
+    lake = daily.Lake(scratch_path(configure(spark), "lake"))
+    bronze = _bronze(spark, sf_dir)
+    of_day = F.col("ingested_at").startswith(LATE_DAY)
+    early = bronze.filter(~of_day | (F.col("comment_count") % 3 != 0))
+    lost = bronze.filter(of_day & (F.col("region") == "US")).withColumn("region", F.lit("ZZ"))
+    daily.build_silver(early.unionByName(lost), lake)
+    daily.build_gold(spark, lake)
+    daily.build_silver(bronze.filter(of_day), lake, day=LATE_DAY)
+    daily.build_gold(spark, lake, LATE_DAY)
+    return lake
+
+
+def gold_after_late_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Growth after a day was replaced."""
+    return comparable(daily.read_gold(spark, _late_lake(spark, sf_dir))["view_velocity"])
+
+
+def ranks_after_late_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks after a day was replaced."""
+    return comparable(daily.read_gold(spark, _late_lake(spark, sf_dir))["daily_trending_rank"])
+
+
+def incremental_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fastest risers, from landed files over the feed, silver and gold to the mart."""
+    lake = daily.Lake(scratch_path(configure(spark), "lake"))
+    daily.run_feed(spark, _fed(spark, sf_dir), lake)
+    return comparable(spark.read.parquet(lake.path("marts", "fct_momentum_videos")))
+
+
+def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category statistics written, registered twice and read by name."""
+    path, name = scratch_path(configure(spark), "catalog"), "trendmill_check.category_stats"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    stats = gold.category_stats(_snaps(spark, sf_dir))
+    write_table(stats, path, GOLD_PARTITIONS)
+    for _ in range(2):
+        register_table(spark, name, path, GOLD["category_stats"], GOLD_PARTITIONS)
+    return comparable(read_catalog(spark, name))
+
+
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the writers of the gold tables counted, and the rows found in the tables."""
+    root = scratch_path(configure(spark), "counts")
+    snaps = _snaps(spark, sf_dir)
+    counted = {}
+    for name, df in daily.gold_tables(snaps, _day_bound(spark, sf_dir)).items():
+        counted[name] = write_table(df, f"{root}/{name}", GOLD_PARTITIONS)
+    found = row_counts({name: spark.read.parquet(f"{root}/{name}") for name in counted})
+    written = F.create_map(*[F.lit(x) for pair in counted.items() for x in pair])
+    return found.withColumn("written_rows", written[F.col("table_name")].cast("bigint"))
+
+
+def report_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaderboard with the position of each row in report order."""
+    best = gold.daily_trending_rank(_snaps(spark, sf_dir), top=marts.LEADERBOARD_SIZE)
+    board = marts.fct_trending_leaderboard(staging.stg_daily_trending_rank(best))
+    ordered = stage(marts.in_report_order(board, "fct_trending_leaderboard").coalesce(1), "report")
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("bigint")
+    return comparable(ordered.select(place.alias("position"), "region", SNAPSHOT, "trending_rank", "video_id"))
+
+
+def ingest_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw.ingest_total(raw.ingest_summary(_decoded(spark, sf_dir)))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the trending leaderboard, from raw records to report, in report order."""
     return fct_trending_leaderboard(spark, "/root/testdata/sf0.001").orderBy(
@@ -302,7 +411,9 @@ def queries() -> dict[str, Query]:
         fct_momentum_videos_by_join, partition_values, loss_accounting, dq_expectations,
         dq_summary, dq_duplicates, dq_violations, dq_not_null, dq_accepted_values,
         dq_value_histogram, dq_row_counts, partitioned_roundtrip, json_lines_roundtrip,
-        incremental_silver, incremental_latest_only,
+        incremental_silver, incremental_latest_only, incremental_marts, latest_with_ties,
+        gold_after_late_day, ranks_after_late_day, dq_report, catalog_roundtrip, observed_counts,
+        report_order, ingest_total,
     ]
     named = {query.__name__: query for query in registered}
     named |= {name: _staging_query(name) for name in staging.STAGING}

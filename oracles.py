@@ -6,7 +6,7 @@ records up to the marts, of which each query selects one.
 
 from __future__ import annotations
 
-from trendmill.schemas import SOURCE
+from trendmill.schemas import CATEGORY_NAMES, MOMENTUM_LABELS, REGIONS, SOURCE
 
 
 def half_up(expression: str, digits: int) -> str:
@@ -28,6 +28,8 @@ bronze AS (
     'description ' || event_id AS description,
     CASE WHEN event_id % 503 = 0 THEN 'n/a' ELSE CAST(user_id % 31 AS VARCHAR) END AS category_id,
     CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id % 5 END AS n_tags,
+    CASE WHEN event_id % 7 = 0 THEN NULL ELSE array_to_string(
+      [ 'tag ' || ((event_id * 7 + i * 4) % 11) FOR i IN range(event_id % 5) ], '|') END AS tags,
     CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 17 = 0 THEN 'P1DT2H'
          WHEN event_id % 19 = 0 THEN 'P0D'
          ELSE 'PT' || (event_id % 3) || 'H' || (event_id % 60) || 'M' END AS duration,
@@ -60,7 +62,7 @@ def silver(grain: str = "day") -> str:
 silver AS (
   SELECT
     video_id, channel_id, region, title, description, channel_title,
-    try_cast(category_id AS BIGINT) AS category_id, default_language,
+    try_cast(category_id AS BIGINT) AS category_id, tags, default_language,
     try_strptime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS published_at, ts AS ingested_at,
     view_count, like_count, comment_count, source, {DURATION} AS duration_seconds,
     coalesce(n_tags, 0) AS tags_count,
@@ -124,15 +126,8 @@ view_velocity AS (
         FROM silver WINDOW w AS (PARTITION BY video_id, region ORDER BY snapshot_date))
 )"""
 
-CATEGORY_NAME = """
-CASE category_id
-  WHEN 1 THEN 'Film & Animation' WHEN 2 THEN 'Autos & Vehicles' WHEN 10 THEN 'Music'
-  WHEN 15 THEN 'Pets & Animals' WHEN 17 THEN 'Sports' WHEN 18 THEN 'Short Movies'
-  WHEN 19 THEN 'Travel & Events' WHEN 20 THEN 'Gaming' WHEN 21 THEN 'Videoblogging'
-  WHEN 22 THEN 'People & Blogs' WHEN 23 THEN 'Comedy' WHEN 24 THEN 'Entertainment'
-  WHEN 25 THEN 'News & Politics' WHEN 26 THEN 'Howto & Style' WHEN 27 THEN 'Education'
-  WHEN 28 THEN 'Science & Technology' WHEN 29 THEN 'Nonprofits & Activism'
-  ELSE 'Unknown (' || CAST(category_id AS VARCHAR) || ')' END AS category_name"""
+_NAMED = " ".join(f"WHEN {number} THEN '{name}'" for number, name in CATEGORY_NAMES.items())
+CATEGORY_NAME = f"CASE category_id {_NAMED} ELSE 'Unknown (' || CAST(category_id AS VARCHAR) || ')' END AS category_name"
 
 STAGING = f"""
 stg_daily_trending_rank AS (
@@ -234,7 +229,7 @@ def raw(select: str) -> str:
 
 
 SILVER_COLUMNS = """
-  video_id, channel_id, region, title, description, channel_title, category_id, default_language,
+  video_id, channel_id, region, title, description, channel_title, category_id, tags, default_language,
   CAST(published_at AS VARCHAR) AS published_at, CAST(ingested_at AS VARCHAR) AS ingested_at,
   view_count, like_count, comment_count, source, duration_seconds, tags_count, engagement_rate,
   like_to_view_ratio, year(published_at) AS published_year, month(published_at) AS published_month,
@@ -275,7 +270,7 @@ FLATTENED = """
 SELECT 'e' || event_id AS video_id, channel_id, region, title,
   CASE WHEN event_id % 11 = 0 THEN '' ELSE substring(repeat(description, 40), 1, 500) END
     AS description,
-  channel_title, category_id, coalesce(n_tags, 0) AS tags_count, duration, default_language,
+  channel_title, category_id, coalesce(n_tags, 0) AS tags_count, coalesce(tags, '') AS tags, duration, default_language,
   published_at, max(ingested_at) OVER (PARTITION BY region, event_id // 50) AS ingested_at,
   view_count,
   CASE WHEN event_id % 71 = 0 THEN 0 ELSE coalesce(like_count, 0) END AS like_count,
@@ -293,12 +288,25 @@ FROM (
   FROM bronze GROUP BY region)"""
 
 
-def _checks() -> str:
+TIED = """
+SELECT video_id, region, CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_date, title, description, view_count, like_count, comment_count
+FROM (SELECT *, row_number() OVER (PARTITION BY video_id, region, CAST(ts AS DATE) ORDER BY channel_id DESC NULLS LAST,
+        title DESC NULLS LAST, description DESC NULLS LAST) AS rn
+      FROM (SELECT * REPLACE (CASE WHEN like_count IS NOT NULL THEN comment_count END AS comment_count) FROM bronze)
+      WHERE video_id IS NOT NULL AND region IS NOT NULL)
+WHERE rn = 1"""
+
+
+def _conditions() -> list[tuple[str, str]]:
+    return [(name, unexpected) for name, _, _, unexpected, _ in _rows() if unexpected not in ("n_key > 1", "false")]
+
+
+def _rows() -> list[tuple]:
     """The 15 expectations as (name, critical, missing, unexpected, mostly)."""
     rows = []
     for column in ["video_id", "region", "ingested_at", "view_count", "channel_id"]:
         rows.append((f"{column}_not_null", True, "0", f"{column} IS NULL", 1.0))
-    rows.append(("region_in_expected_set", True, "region IS NULL", "region NOT IN ('US','GB','IN','CA')", 1.0))
+    rows.append(("region_in_expected_set", True, "region IS NULL", f"region NOT IN {tuple(REGIONS)}", 1.0))
     for column in ["view_count", "like_count", "comment_count"]:
         rows.append((f"{column}_non_negative", True, f"{column} IS NULL", f"{column} < 0", 1.0))
     rows.append((f"source_is_{SOURCE}", True, "source IS NULL", f"source <> '{SOURCE}'", 1.0))
@@ -311,11 +319,15 @@ def _checks() -> str:
         rows.append((f"{column}_iso8601_format", True, f"{column} IS NULL", bad, 0.95))
     rows.append(("video_region_key_mostly_unique", False, "0", "n_key > 1", 0.95))
     rows.append(("dataset_not_empty", True, "0", "false", 1.0))
+    return rows
+
+
+def _checks() -> str:
     parts = [
         f"SELECT '{name}' AS expectation, {critical} AS critical, count(*) AS element_count, "
         f"count(*) FILTER ({'false' if missing == '0' else missing}) AS missing_count, "
         f"count(*) FILTER ({bad}) AS unexpected_count, {mostly} AS mostly FROM keyed"
-        for name, critical, missing, bad, mostly in rows
+        for name, critical, missing, bad, mostly in _rows()
     ]
     return (
         "WITH " + BRONZE + """, keyed AS (
@@ -364,19 +376,20 @@ def _not_null() -> str:
     )
 
 
+ACCEPTED_VALUES = [
+    ("stg_daily_trending_rank", "region", tuple(REGIONS)),
+    ("stg_view_velocity", "momentum_label", tuple(MOMENTUM_LABELS)),
+    ("fct_trending_leaderboard", "engagement_quintile", (1, 2, 3, 4, 5)),
+    ("fct_momentum_videos", "momentum_label", tuple(MOMENTUM_LABELS)),
+]
+
+
 def _accepted() -> str:
-    labels = "('accelerating', 'growing', 'flat', 'declining')"
-    tests = [
-        ("stg_daily_trending_rank", "region", "('US', 'GB', 'IN', 'CA')"),
-        ("stg_view_velocity", "momentum_label", labels),
-        ("fct_trending_leaderboard", "engagement_quintile", "(1, 2, 3, 4, 5)"),
-        ("fct_momentum_videos", "momentum_label", labels),
-    ]
     return _verdicts(
         [
             f"SELECT '{table}' AS table_name, 'accepted_values' AS test, '{column}' AS column_name, "
             f"count(DISTINCT {column}) FILTER ({column} NOT IN {values}) AS failures FROM {table}"
-            for table, column, values in tests
+            for table, column, values in ACCEPTED_VALUES
         ]
     )
 
@@ -440,13 +453,50 @@ def sql() -> dict[str, str]:
             "GROUP BY 1 HAVING count(*) > 1"
         ),
         "dq_violations": raw(
-            "SELECT video_id, region, duration FROM bronze "
-            r"WHERE NOT regexp_matches(duration, '^PT(\d+H)?(\d+M)?(\d+S)?$')"
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS expectation, video_id, region, ingested_at "
+                f"FROM bronze WHERE {bad}"
+                for name, bad in _conditions()
+            )
+        ),
+        "dq_report": _checks() + """, totals AS (
+  SELECT count(*) AS total_expectations, count(*) FILTER (success) AS passed,
+    count(*) FILTER (NOT success AND critical) AS critical_failures,
+    count(*) FILTER (NOT success AND NOT critical) AS warning_failures,
+    count(*) FILTER (NOT success AND critical) = 0 AS overall_success FROM results)
+SELECT 'events' AS bronze_path, totals.*, CAST(list_position(""" + str([row[0] for row in _rows()]) + """, expectation) - 1 AS BIGINT)
+  AS position, expectation, unexpected_count FROM results, totals""",
+        "latest_with_ties": raw(TIED),
+        "gold_after_late_day": layers(VELOCITY),
+        "ranks_after_late_day": layers(RANKED),
+        "incremental_marts": momentum,
+        "catalog_roundtrip": layers(rounded("category_stats", "avg_engagement_rate")),
+        "observed_counts": layers(
+            " UNION ALL ".join(
+                f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) AS written_rows FROM {source}"
+                for t, source in {
+                    "daily_trending_rank": "daily_trending_rank", "category_stats": "category_stats",
+                    "channel_stats": "channel_stats", "channel_titles": "silver", "view_velocity": "view_velocity",
+                }.items()
+            )
+        ),
+        "report_order": layers(
+            f"SELECT row_number() OVER (ORDER BY region, snapshot_date, trending_rank) AS position, region, {DAY}, "
+            "trending_rank, video_id FROM fct_trending_leaderboard"
+        ),
+        "ingest_total": raw(
+            "SELECT CAST(sum(records) AS BIGINT) AS total_records, coalesce(string_agg(region, ',' ORDER BY region) "
+            "FILTER (status <> 'SUCCESS'), '') AS failed_regions, CASE WHEN count(*) FILTER (status <> 'SUCCESS') = 0 "
+            f"THEN 'SUCCESS' ELSE 'PARTIAL' END AS status FROM ({INGEST})"
         ),
         "dq_not_null": layers(_not_null()),
         "dq_accepted_values": layers(_accepted()),
         "dq_value_histogram": layers(
-            "SELECT momentum_label AS value_field, count(*) AS n_records FROM stg_view_velocity GROUP BY 1"
+            " UNION ALL ".join(
+                f"SELECT '{table}' AS table_name, '{column}' AS column_name, CAST({column} AS VARCHAR) AS value_field, "
+                f"count(*) AS n_records FROM {table} GROUP BY {column}"
+                for table, column, _ in ACCEPTED_VALUES
+            )
         ),
         "dq_row_counts": layers(_row_counts()),
         "partitioned_roundtrip": daily_silver,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendmill.functions.measures import share
-from trendmill.operators.scale import MAX_GROUP_ROWS, broadcast_if_small, group_bound, join_on_group
+from trendmill.operators.scale import MAX_GROUP_ROWS, group_bound, join_on_group
 
 
 def value_at_max(value: str, by: str, tie: str) -> Column:
@@ -34,7 +34,7 @@ def share_of_total(
         total = F.try_sum(measure).over(Window.partitionBy(*keys))
         return df.withColumn(name, share(F.col(measure), total))
     totals = (df if source is None else source).groupBy(*keys).agg(F.try_sum(measure).alias("_total"))
-    joined = join_on_group(df, broadcast_if_small(totals), keys)
+    joined = join_on_group(df, totals, keys)
     return joined.withColumn(name, share(F.col(measure), F.col("_total"))).drop("_total")
 
 

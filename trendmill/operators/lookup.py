@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 def literal_dimension(spark: SparkSession, names: dict[int, str], key: str, value: str) -> DataFrame:
     """A small fixed table as an inline relation, so its size is known to the planner."""
-    rows = ", ".join(f"({number}, '{name}')" for number, name in names.items())
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS dimension({key}, {value})")
+    pairs = F.array(*[F.struct(F.lit(number).alias(key), F.lit(name).alias(value)) for number, name in names.items()])
+    return spark.range(1).select(F.inline(pairs))
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, value: str, default: Column) -> DataFrame:

@@ -57,42 +57,64 @@ def expect_rows(name: str, at_least: int) -> Expectation:
     return Expectation(name, ROW_COUNT, at_least=at_least)
 
 
+MAX_BITS = 62
+
+
 def validate(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
     """DQ16: one row per expectation with its counts and verdict.
 
-    The input is read once: violations are counted together with the rows per unique key, then
-    summed over the keys. Counting per key starts before the shuffle, so a hot key costs one row
-    per task. A second uniqueness check would take a read of its own and is not accepted.
+    The input is read once. What is wrong with a row becomes a bit mask, and rows are counted by
+    uniqueness key and mask before the shuffle, so that key, mask and count are all that is sent; a
+    hot key costs one row per task and mask. The counts of the value checks are sums over masks,
+    those of uniqueness sums over keys. Of several uniqueness checks each has keys of its own.
     """
-    keys = [e.value for e in expectations if e.kind == UNIQUE]
-    if len(keys) > 1:
-        raise ValueError("one uniqueness check per run")
-    mapped = [e for e in expectations if e.kind in (NOT_NULL, VALUES)]
-
-    counts = {"rows": F.count(F.lit(1))}
-    for i, e in enumerate(mapped):
-        counts[f"bad_{i}"] = F.count_if(e.bad)
+    uniques = [e for e in expectations if e.kind == UNIQUE]
+    bits: dict[tuple[str, str], Column] = {}
+    for e in expectations:
+        if e.kind in (NOT_NULL, VALUES):
+            bits[e.name, "bad"] = e.bad
         if e.kind == VALUES:
-            counts[f"null_{i}"] = F.count_if(e.value.isNull())
-    named = [column.alias(name) for name, column in counts.items()]
-    per_key = df.groupBy(keys[0].alias("_key")).agg(*named) if keys else df.agg(*named)
-    totals = per_key.agg(
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
-        F.coalesce(F.sum(F.when(F.col("rows") > 1, F.col("rows"))), F.lit(0)).alias("duplicated"),
+            bits[e.name, "null"] = e.value.isNull()
+    if len(bits) > MAX_BITS:
+        raise ValueError(f"at most {MAX_BITS} conditions per run")
+    mask = F.lit(0).cast("bigint")
+    for i, condition in enumerate(bits.values()):
+        mask = mask + F.when(condition, F.lit(1 << i)).otherwise(F.lit(0))
+
+    keys = [e.value for e in uniques] or [F.lit("")]
+    masked = [mask, *[F.lit(0).cast("bigint")] * (len(keys) - 1)]  # a row's mask goes with its first key
+    if len(keys) == 1:
+        keyed = df.select(F.lit(0).alias("check"), keys[0].alias("key"), mask.alias("mask"))
+    else:
+        entries = [
+            F.struct(F.lit(i).alias("check"), key.cast("string").alias("key"), m.alias("mask"))
+            for i, (key, m) in enumerate(zip(keys, masked, strict=True))
+        ]
+        keyed = df.select(F.inline(F.array(*entries)))
+    counted = keyed.groupBy("check", "key", "mask").agg(F.count(F.lit(1)).alias("n"))
+    by_mask = counted.filter("check = 0").select(F.lit(-1).alias("check"), "mask", "n")
+    by_key = counted.groupBy("check", "key").agg(F.sum("n").alias("n")).filter("n > 1")
+    parts = by_mask.unionByName(by_key.select("check", F.lit(0).cast("bigint").alias("mask"), "n"))
+
+    def total(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias(name)
+
+    of_rows = F.col("check") == -1
+    totals = parts.agg(
+        total(of_rows, "rows"),
+        *[total(of_rows & F.getbit("mask", F.lit(i)).cast("boolean"), f"{part}_{name}") for i, (name, part) in enumerate(bits)],
+        *[total(F.col("check") == i, f"bad_{e.name}") for i, e in enumerate(uniques)],
     )
-
-    position = {e.name: i for i, e in enumerate(mapped)}
-    results = [_result(e, position.get(e.name)) for e in expectations]
-    return totals.select(F.inline(F.array(*results)))
+    return totals.select(F.inline(F.array(*map(_result, expectations))))
 
 
-def _result(e: Expectation, i: int | None) -> Column:
+def _result(e: Expectation) -> Column:
     rows, none = F.col("rows"), F.lit(0).cast("bigint")
-    missing = F.col(f"null_{i}") if e.kind == VALUES else none
+    missing = F.col(f"`null_{e.name}`") if e.kind == VALUES else none
     if e.kind == ROW_COUNT:
         unexpected, success = none, rows >= e.at_least
     else:
-        unexpected = F.col("duplicated") if e.kind == UNIQUE else F.col(f"bad_{i}")
+        unexpected = F.col(f"`bad_{e.name}`")
         checked = rows - missing
         success = (checked == 0) | ((checked - unexpected) / F.nullif(checked, none) >= e.mostly)
     return F.struct(

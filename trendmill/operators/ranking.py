@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from trendmill.operators.scale import (
     MAX_GROUP_ROWS,
-    broadcast_if_small,
     group_bound,
     join_on_group,
     total_before,
 )
+from trendmill.session import stage
 
 
 def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str = "rank") -> DataFrame:
@@ -59,12 +59,13 @@ def rank_in_group(
     """WN4: gapped rank by a measure, largest first.
 
     Large groups are first reduced to their distinct values with counts, so ties cost nothing; the
-    rank of a value is one more than the rows with larger values, and rows get it by a join.
+    rank of a value is one more than the rows with larger values, and rows get it by a join. The
+    values are stored once, and measured and ranked from there.
     """
     bound = group_bound(df, keys, group_rows, max_group_rows)
     if bound <= max_group_rows:
         return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(F.desc(by))))
-    values = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_rows"))
+    values = stage(df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_rows")), "values")
     ranked = total_before(values, keys, [F.desc(by)], F.col("_rows"), name, None, max_group_rows)
     ranked = ranked.select(*keys, by, (F.col(name) + 1).cast("int").alias(name))
     return join_on_group(df, ranked, [*keys, by])
@@ -94,7 +95,7 @@ def top_n_with_ties(
         .groupBy(*keys, by)
         .agg(F.min(name).alias(name))
     )
-    return join_on_group(df, broadcast_if_small(ranks), [*keys, by])
+    return join_on_group(df, ranks, [*keys, by])
 
 
 def ntile_in_group(df: DataFrame, keys: list[str], order: list[Column], buckets: int, name: str) -> DataFrame:

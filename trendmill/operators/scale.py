@@ -1,4 +1,4 @@
-"""Exact work on groups too large for one task, and size-checked broadcasts."""
+"""Exact work on groups too large for one task."""
 
 from __future__ import annotations
 
@@ -12,9 +12,6 @@ from trendmill.session import stage
 # A group up to this size is sorted by one task (with spill); a larger one is split into cells.
 MAX_GROUP_ROWS = 4_000_000
 
-# A table up to this many rows may be broadcast.
-MAX_BROADCAST_ROWS = 100_000
-
 _CELL = "_cell"
 _GROUP = "_group"
 
@@ -32,12 +29,6 @@ def group_bound(df: DataFrame, keys: list[str], known: int | None, limit: int) -
     return largest_group(df, keys)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the table has at most ``max_rows`` rows, else leave the join to AQE."""
-    found = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if found <= max_rows else df
-
-
 def group_key(columns: list[str]) -> Column:
     """Columns as one struct. It is never NULL, and NULL fields compare equal."""
     return F.struct(*columns)

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from trendmill.functions.parsing import to_timestamp
 from trendmill.operators.scale import MAX_GROUP_ROWS, largest_group
 from trendmill.operators.tabletests import require_rows, run_table_tests
 from trendmill.plans import checks, gold, marts, staging
-from trendmill.plans.silver import silver_videos
+from trendmill.plans.silver import ENTITY, SNAPSHOT, silver_videos
 from trendmill.schemas import GOLD, GOLD_PARTITIONS, MART_PARTITIONS, SILVER, SILVER_PARTITIONS
-from trendmill.session import configure, discarding_staged
+from trendmill.session import configure, discarding_staged, exists, stage
 from trendmill.sources.bronze import read_bronze, require_input
 from trendmill.sources.tables import (
     DEFAULT_FORMAT,
@@ -20,8 +24,10 @@ from trendmill.sources.tables import (
     read_table,
     register_table,
     register_view,
+    replace_partitions,
     write_table,
 )
+from trendmill.streaming.feed import Feed, feed_silver
 
 
 @dataclass(frozen=True)
@@ -54,55 +60,107 @@ def validate_layer(bronze: DataFrame, bronze_path: str, lake: Lake, fail_on_erro
     return checks.gate(results, fail_on_error)
 
 
-def build_silver(bronze: DataFrame, lake: Lake, grain: str = "day") -> int:
-    """TB1, SK1. The input is checked before anything is overwritten."""
+class OtherDays(Exception):
+    """Records of a day run that do not belong to its day."""
+
+
+def require_day(bronze: DataFrame, day: str) -> None:
+    """Raise unless all records were seen on ``day``; those without a readable time belong to no day."""
+    seen = F.to_date(to_timestamp(F.col("ingested_at")))
+    if not bronze.filter(~seen.eqNullSafe(F.lit(day).cast("date"))).isEmpty():
+        raise OtherDays(f"records of other days, or without a day, in the input for {day}")
+
+
+def build_silver(bronze: DataFrame, lake: Lake, grain: str = "day", day: str | None = None) -> int:
+    """TB1, SK1. The input is checked before anything is overwritten.
+
+    With ``day`` the input must be all records of that day; they replace that day in the history.
+    Partitions follow the publishing month, so those with rows of the day, old or new, are written
+    again, and no other.
+    """
     require_input(bronze, "silver")
-    path = lake.path("silver", "videos")
-    rows = write_table(silver_videos(bronze, grain), path, SILVER_PARTITIONS, ["ingested_at"], lake.fmt)
+    if day is not None:
+        if lake.fmt != DEFAULT_FORMAT:
+            raise ValueError(f"a day can be replaced in {DEFAULT_FORMAT} tables only")
+        if grain != "day":
+            raise ValueError("only a history with a row per day can have a day replaced")
+        require_day(bronze, day)
+    return write_silver(silver_videos(bronze, grain), lake, day)
+
+
+def write_silver(silver: DataFrame, lake: Lake, day: str | None = None) -> int:
+    """Store silver rows, all or those of a day."""
+    spark, path = silver.sparkSession, lake.path("silver", "videos")
+    if day is None or not exists(spark, path):
+        rows = write_table(silver, path, SILVER_PARTITIONS, ["ingested_at"], lake.fmt)
+    else:
+        old = read_table(spark, path, SILVER, lake.fmt)
+        # Bounds on the stored time itself are pushed down to the files, which are sorted by it.
+        begin = F.lit(day).cast("timestamp")
+        of_day = (F.col("ingested_at") >= begin) & (F.col("ingested_at") < begin + F.expr("INTERVAL 1 DAY"))
+        fresh = stage(silver, "silver")
+        found = old.filter(of_day).select(*SILVER_PARTITIONS).union(fresh.select(*SILVER_PARTITIONS)).distinct()
+        touched = [row.asDict() for row in found.collect()]  # regions times months
+        near = reduce(or_, [reduce(and_, [F.col(c) == v for c, v in values.items()]) for values in touched], F.lit(False))
+        others = old.filter(near & (~of_day | F.col("ingested_at").isNull()))
+        merged = stage(others.unionByName(fresh), "silver")
+        rows = replace_partitions(merged, path, SILVER_PARTITIONS, touched, ["ingested_at"])
     if lake.database:
-        register_table(bronze.sparkSession, f"{lake.database}.silver_videos", path, lake.fmt)
+        register_table(spark, f"{lake.database}.silver_videos", path, SILVER, SILVER_PARTITIONS, lake.fmt)
     return rows
 
 
 def gold_tables(
     snaps: DataFrame, group_rows: int, max_group_rows: int = MAX_GROUP_ROWS
 ) -> dict[str, DataFrame]:
-    """``group_rows`` bounds the rows of ``snaps`` per region and day.
-
-    Titles beyond the arrays of the channel statistics get a table of their own, if there are any.
-    """
-    overflow = {}
-    if group_rows > max_group_rows:
-        overflow["channel_titles"] = gold.channel_titles(snaps, max_group_rows)
-    return overflow | {
+    """``group_rows`` bounds the rows of ``snaps`` per region and day, on which only plans depend."""
+    return {
         "daily_trending_rank": gold.daily_trending_rank(snaps, group_rows, max_group_rows=max_group_rows),
         "category_stats": gold.category_stats(snaps),
-        "channel_stats": gold.channel_stats(snaps, group_rows, max_group_rows),
+        "channel_stats": gold.channel_stats(snaps),
+        "channel_titles": gold.channel_titles(snaps),
         "view_velocity": gold.view_velocity(snaps),
     }
 
 
+def days_after(history: DataFrame, keys: DataFrame, day: str) -> list[str]:
+    """The days of the next snapshots, after ``day``, of the given videos and regions."""
+    later = history.filter(F.col(SNAPSHOT) > F.lit(day).cast("date")).select(*ENTITY, SNAPSHOT)
+    following = later.join(keys.distinct(), ENTITY, "left_semi").groupBy(*ENTITY).agg(F.min(SNAPSHOT).alias(SNAPSHOT))
+    return [str(row[0]) for row in following.select(SNAPSHOT).distinct().collect()]
+
+
 def build_gold(
     spark: SparkSession, lake: Lake, day: str | None = None, max_group_rows: int = MAX_GROUP_ROWS
 ) -> dict[str, int]:
     """TB2-TB5, SK2. Each table is one read of the needed silver columns and one write.
 
-    With ``day`` only that day's partitions are replaced; growth looks back at the earlier days.
+    With ``day`` that day's partitions are replaced, and removed where the day has no more rows.
+    Growth is also renewed on the days that hold the next snapshot of a video that is, or was, in it.
     """
     silver = read_table(spark, lake.path("silver", "videos"), SILVER, lake.fmt)
     require_input(silver, "gold")
     history = gold.snapshots(silver)
     snaps = gold.snapshots(silver, day)
     tables = gold_tables(snaps, largest_group(snaps, gold.DAY), max_group_rows)
+    renewed = {name: [day] for name in tables}
     if day is not None:
-        tables["view_velocity"] = gold.view_velocity_on(history, day)
+        before = read_table(spark, lake.path("gold", "view_velocity"), GOLD["view_velocity"], lake.fmt)
+        keys = gold.on_date(before, SNAPSHOT, day).select(*ENTITY).union(snaps.select(*ENTITY))
+        renewed["view_velocity"] = [day, *days_after(history, keys, day)]
+        tables["view_velocity"] = gold.velocity_of_days(history, renewed["view_velocity"])
     rows = {}
     for name, df in tables.items():
         path = lake.path("gold", name)
         order = ["trending_rank"] if name == "daily_trending_rank" else None
-        rows[name] = write_table(df, path, GOLD_PARTITIONS, order, lake.fmt, dynamic=day is not None)
+        if day is None:
+            rows[name] = write_table(df, path, GOLD_PARTITIONS, order, lake.fmt)
+        else:
+            old = read_table(spark, path, GOLD[name], lake.fmt).filter(gold.is_on(renewed[name]))
+            touched = [row.asDict() for row in old.select(*GOLD_PARTITIONS).distinct().collect()]
+            rows[name] = replace_partitions(stage(df, name), path, GOLD_PARTITIONS, touched, order)
         if lake.database:
-            register_table(spark, f"{lake.database}.gold_{name}", path, lake.fmt)
+            register_table(spark, f"{lake.database}.gold_{name}", path, GOLD[name], GOLD_PARTITIONS, lake.fmt)
     return rows
 
 
@@ -146,7 +204,7 @@ def build_marts(spark: SparkSession, lake: Lake, max_group_rows: int = MAX_GROUP
         built[name] = read_table(spark, path, df.schema, lake.fmt)
         if lake.database:
             database = database_for(lake.mart_database, lake.database)
-            register_table(spark, f"{database}.{name}", path, lake.fmt)
+            register_table(spark, f"{database}.{name}", path, df.schema, MART_PARTITIONS, lake.fmt)
     tests = run_table_tests(layer | stg | built, checks.NOT_NULL, checks.ACCEPTED)
     failed = tests.filter("should_error").collect()
     run.failed_tests = [f"{row.test}_{row.table_name}_{row.column_name}" for row in failed]
@@ -154,6 +212,18 @@ def build_marts(spark: SparkSession, lake: Lake, max_group_rows: int = MAX_GROUP
     return run
 
 
+def run_feed(
+    spark: SparkSession, feed: Feed, lake: Lake, grain: str = "day", max_group_rows: int = MAX_GROUP_ROWS
+) -> Run:
+    """ST1 to the marts: silver from the state of the feed, then gold and marts as in the daily run."""
+    configure(spark)
+    with discarding_staged(spark):
+        rows = {"silver_videos": write_silver(feed_silver(spark, feed, grain), lake)}
+        rows |= build_gold(spark, lake, None, max_group_rows)
+        run = build_marts(spark, lake, max_group_rows)
+    return Run(rows | run.rows, [], run.failed_tests)
+
+
 def run_daily(
     spark: SparkSession,
     bronze_path: str | list[str],
@@ -166,15 +236,17 @@ def run_daily(
 ) -> Run:
     """All steps in order; any failure stops the run.
 
-    ``max_group_rows`` is the largest group of one region and day that one task may have to sort.
+    With ``day`` the input is that day's records: silver and gold of the day are replaced, and the
+    marts, which are small, built again. ``max_group_rows`` is the largest group of one region and
+    day that one task may have to sort.
     """
     configure(spark)
     bronze = read_bronze(spark, bronze_path)
     on_step("validate")
     warnings = validate_layer(bronze, str(bronze_path), lake, fail_on_error)
     on_step("silver")
-    rows = {"silver_videos": build_silver(bronze, lake, grain)}
     with discarding_staged(spark):
+        rows = {"silver_videos": build_silver(bronze, lake, grain, day)}
         on_step("gold")
         rows |= build_gold(spark, lake, day, max_group_rows)
         on_step("marts")

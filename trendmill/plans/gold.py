@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendmill.functions.measures import days_between, percent_change
 from trendmill.operators.aggregates import value_at_max
 from trendmill.operators.filters import on_date
 from trendmill.operators.ranking import row_number_in_group, top_n
-from trendmill.operators.scale import MAX_GROUP_ROWS, broadcast_if_small, group_bound, group_key
 from trendmill.operators.series import with_last_before, with_previous
 from trendmill.plans.silver import ENTITY, SNAPSHOT
 
@@ -69,54 +68,32 @@ def category_stats(snaps: DataFrame) -> DataFrame:
 
 
 CHANNEL_DAY = ["channel_id", "channel_title", *DAY]
-TITLES = "trending_video_titles"
 
 
-def channel_stats(
-    snaps: DataFrame, group_rows: int | None = None, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
-    """TB4, AG2, AG4: measures per channel, region and day, with the titles in order (D5).
+def channel_stats(snaps: DataFrame) -> DataFrame:
+    """TB4, AG2, AG4: measures per channel, region and day, with all titles in order (D5).
 
-    A reader that leaves the titles out does not compute them. A channel with more than
-    ``max_group_rows`` videos in a region's day has no array, since one row could not hold it: its
-    array is NULL, and :func:`channel_titles` has its titles as rows.
-    """
-    measures = [
-        F.count("video_id").alias("trending_video_count"),
-        F.try_sum("view_count").alias("total_views"),
-        F.try_sum("like_count").alias("total_likes"),
-        F.try_sum("comment_count").alias("total_comments"),
-        F.avg("view_count").alias("avg_view_count"),
-        F.avg("engagement_rate").alias("avg_engagement_rate"),
-        F.max("view_count").alias("max_video_views"),
-    ]
-    titles = F.sort_array(F.collect_list("title")).alias(TITLES)
-    if group_bound(snaps, CHANNEL_DAY, group_rows, max_group_rows) <= max_group_rows:
-        return _stamped(snaps.groupBy(*CHANNEL_DAY).agg(*measures, titles))
-
-    numbers = snaps.groupBy(*CHANNEL_DAY).agg(*measures).withColumn("_channel", group_key(CHANNEL_DAY))
-    named = snaps.select(group_key(CHANNEL_DAY).alias("_channel"), "title")
-    small = named.join(_large_channels(snaps, max_group_rows), "_channel", "left_anti")
-    listed = small.groupBy("_channel").agg(titles)
-    return _stamped(numbers.join(listed, "_channel", "left").drop("_channel"))
-
-
-def _large_channels(snaps: DataFrame, max_group_rows: int) -> DataFrame:
-    """Few: at most one per ``max_group_rows`` rows of the table."""
-    sizes = snaps.groupBy(group_key(CHANNEL_DAY).alias("_channel")).agg(F.count(F.lit(1)).alias("_rows"))
-    return broadcast_if_small(sizes.filter(F.col("_rows") > max_group_rows).select("_channel"))
-
-
-def channel_titles(snaps: DataFrame, max_group_rows: int = 0) -> DataFrame:
-    """One title per row, of the channels too large for an array in :func:`channel_stats`.
-
-    By default of all channels.
+    A reader that leaves the titles out does not compute them. The array is as long as the channel
+    has videos on that day; :func:`channel_titles` has the same titles as rows, for channels whose
+    array would be unwieldy.
     """
-    titles = snaps.filter(F.col("title").isNotNull()).select(*CHANNEL_DAY, "title")
-    if max_group_rows == 0:
-        return titles
-    keyed = titles.withColumn("_channel", group_key(CHANNEL_DAY))
-    return keyed.join(_large_channels(snaps, max_group_rows), "_channel", "left_semi").drop("_channel")
+    return _stamped(
+        snaps.groupBy(*CHANNEL_DAY).agg(
+            F.count("video_id").alias("trending_video_count"),
+            F.try_sum("view_count").alias("total_views"),
+            F.try_sum("like_count").alias("total_likes"),
+            F.try_sum("comment_count").alias("total_comments"),
+            F.avg("view_count").alias("avg_view_count"),
+            F.avg("engagement_rate").alias("avg_engagement_rate"),
+            F.max("view_count").alias("max_video_views"),
+            F.sort_array(F.collect_list("title")).alias("trending_video_titles"),
+        )
+    )
+
+
+def channel_titles(snaps: DataFrame) -> DataFrame:
+    """The titles of :func:`channel_stats`, one per row."""
+    return snaps.filter(F.col("title").isNotNull()).select(*CHANNEL_DAY, "title")
 
 
 LAGS = {"view_count": "_previous_views", SNAPSHOT: "_previous_date"}
@@ -148,6 +125,18 @@ def view_velocity(snaps: DataFrame) -> DataFrame:
     return _velocity(with_previous(snaps.select(*VELOCITY_COLUMNS), ENTITY, [F.asc(SNAPSHOT)], LAGS))
 
 
+def is_on(days: list[str]) -> Column:
+    """Whether a row is of one of the days, as literals that prune partitions."""
+    return F.col(SNAPSHOT).isin([F.lit(day).cast("date") for day in days])
+
+
+def velocity_of_days(snaps: DataFrame, days: list[str]) -> DataFrame:
+    """The rows of :func:`view_velocity` for some days: only series with a row on them are sorted."""
+    wanted = snaps.filter(is_on(days)).select(*ENTITY).distinct()
+    series = snaps.select(*VELOCITY_COLUMNS).join(wanted, ENTITY, "left_semi")
+    return view_velocity(series).filter(is_on(days))
+
+
 def view_velocity_on(snaps: DataFrame, day: str) -> DataFrame:
     """The rows of :func:`view_velocity` for one day, without sorting the history."""
     current = on_date(snaps, SNAPSHOT, day).select(*VELOCITY_COLUMNS)

@@ -19,13 +19,13 @@ GRAINS = {"latest": ENTITY, "day": [*ENTITY, SNAPSHOT]}
 
 
 def newest(records: DataFrame, grain: str) -> DataFrame:
-    """The latest record per key. Equal times are decided by a hash over the rest of the record.
+    """The latest record per key. Equal times are decided by the other columns in their order.
 
-    So the choice does not depend on the order of arrival, and can be made in steps.
+    So only records that are equal throughout tie, and the choice neither depends on the order of
+    arrival nor on the steps in which it is made.
     """
-    rest = [F.col(name) for name in BRONZE_COLUMNS if name != "ingested_at"]
-    tied = records.withColumn("_tie", F.xxhash64(*rest))
-    return latest_per_key(tied, GRAINS[grain], [F.desc("ingested_at"), F.desc("_tie")]).drop("_tie")
+    rest = [F.desc(name) for name in BRONZE_COLUMNS if name != "ingested_at"]
+    return latest_per_key(records, GRAINS[grain], [F.desc("ingested_at"), *rest])
 
 
 def latest_records(bronze: DataFrame, grain: str = "day") -> DataFrame:

@@ -63,6 +63,7 @@ SILVER = """
 """
 
 GOLD = {
+    "channel_titles": "channel_id STRING, channel_title STRING, region STRING, snapshot_date DATE, title STRING",
     "daily_trending_rank": """
         video_id STRING, title STRING, channel_id STRING, channel_title STRING, category_id INT,
         region STRING, snapshot_date DATE, view_count BIGINT, like_count BIGINT,

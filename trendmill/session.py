@@ -63,6 +63,11 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def discard(staged: DataFrame) -> None:
     """Delete what ``stage`` stored; neither the frame nor what was built on it may be used after that."""
     for path in {os.path.dirname(name) for name in staged.inputFiles()}:

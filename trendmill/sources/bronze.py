@@ -111,6 +111,13 @@ def ingest_summary(decoded: DataFrame) -> DataFrame:
     )
 
 
+def ingest_total(summary: DataFrame) -> DataFrame:
+    """SE1: all regions in one row: status, records, and the regions that are not a success, in order."""
+    failed = F.array_sort(F.collect_list(F.when(F.col("status") != "SUCCESS", F.col("region"))))
+    totals = summary.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("total_records"), F.array_join(failed, ",").alias("failed_regions"))
+    return totals.withColumn("status", F.when(F.col("failed_regions") == "", "SUCCESS").otherwise("PARTIAL"))
+
+
 def land(records: DataFrame, path: str, mode: str = "append", rows_per_file: int = 0) -> None:
     """SK6, FN26: write records as JSON lines; ``rows_per_file`` limits the files, 0 does not."""
     records.write.mode(mode).option("maxRecordsPerFile", rows_per_file).json(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendmill.schemas import PIPELINE_VERSION, SOURCE
@@ -18,6 +18,13 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def _tags() -> Column:
+    """None to four tags that differ from each other and from row to row, not in order."""
+    return F.expr(
+        "transform(filter(sequence(0, 3), i -> i < event_id % 5), i -> concat('tag ', (event_id * 7 + i * 4) % 11))"
+    )
+
+
 def bronze_from_events(events: DataFrame, *extra: str) -> DataFrame:
     """Records with every flaw the engine must handle: NULL keys, bad text, zero and NULL counts.
 
@@ -46,7 +53,7 @@ def bronze_from_events(events: DataFrame, *extra: str) -> DataFrame:
         F.concat(F.lit("description "), event).alias("description"),
         F.concat(F.lit("channel "), user % 40).alias("channel_title"),
         F.when(_every(503), "n/a").otherwise((user % 31).cast("string")).alias("category_id"),
-        F.when(~_every(7), F.array_repeat(F.lit("tag"), (event % 5).cast("int"))).alias("tags"),
+        F.when(~_every(7), _tags()).alias("tags"),
         duration.alias("duration"),
         F.lit("en").alias("default_language"),
         F.when(_every(97), "bad").otherwise(F.concat(published, F.lit("T00:00:00Z"))).alias("published_at"),

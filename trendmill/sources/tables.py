@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from trendmill.session import remove
+
 DEFAULT_FORMAT = "parquet"
 
 
@@ -62,20 +64,60 @@ def database_for(custom: str | None, default: str) -> str:
     return default if custom is None else custom.strip()
 
 
-def register_table(spark: SparkSession, name: str, path: str, fmt: str = DEFAULT_FORMAT) -> None:
-    """SK7: make the files at ``path`` known as an external table, with their true types.
+def register_table(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: str | StructType,
+    partition_by: list[str],
+    fmt: str = DEFAULT_FORMAT,
+) -> None:
+    """SK7: make the files at ``path`` known as an external table of the declared schema.
 
-    An existing entry is renewed; dropping it leaves the files. Partitions are recovered from the
-    directory layout.
+    An existing entry stays, with its grants and properties; only partitions that are new or gone
+    are entered or removed, by the names of their folders.
     """
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0]}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path, source=fmt)
-    if fmt == DEFAULT_FORMAT and any(column.isPartition for column in spark.catalog.listColumns(name)):
-        spark.catalog.recoverPartitions(name)
+    if fmt != DEFAULT_FORMAT:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
+        return
+    schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+    partitions = ", ".join(f"`{column}`" for column in partition_by)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} PARTITIONED BY ({partitions}) LOCATION '{path}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
 
 
 def register_view(df: DataFrame, name: str) -> None:
-    """SK4: a lazy view of the session."""
+    """SK4: a lazy view of the session, where no catalog keeps the tables."""
     df.createOrReplaceTempView(name)
+
+
+def register_catalog_view(spark: SparkSession, name: str, query: str) -> None:
+    """SK4: a view that the catalog keeps, over tables that it knows; it outlives the session."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0]}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+
+def drop_partitions(spark: SparkSession, path: str, partitions: list[dict]) -> None:
+    """Remove the folders of partitions; NULL is the name that Spark writes for it."""
+    for values in partitions:
+        named = [f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in values.items()]
+        remove(spark, "/".join([path.rstrip("/"), *named]))
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], touched: list[dict], sort_by: list[str] | None = None) -> int:
+    """Write ``df`` over the partitions ``touched``, all of it, and remove those that got no row.
+
+    ``df`` must not read the files at ``path``, and must have rows of touched partitions only.
+    """
+    spark = df.sparkSession
+    rows = write_table(df, path, partition_by, sort_by, dynamic=True)
+    filled = {tuple(row) for row in df.select(*partition_by).distinct().collect()}
+    gone = [values for values in touched if tuple(values[c] for c in partition_by) not in filled]
+    drop_partitions(spark, path, gone)
+    return rows

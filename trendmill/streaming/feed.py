@@ -7,7 +7,8 @@ large the history is, only those are read and written.
 
 A batch is merged into its days in two steps. The merged rows are first written aside and marked
 complete, then they replace the days. A batch that is run again after a crash finds the mark and only
-repeats the second step, so no crash can lose the rows being replaced.
+repeats the second step, so no crash can lose the rows being replaced. A mark names the stream as well
+as the batch: with a new checkpoint the numbers start again, but the stream has another id.
 """
 
 from __future__ import annotations
@@ -65,17 +66,22 @@ def prepare_feed(spark: SparkSession, feed: Feed) -> None:
     """Create the empty state and the first mark of a new feed; an existing feed stays as it is."""
     empty = spark.createDataFrame([], _state_schema())
     empty.write.mode("ignore").partitionBy(SNAPSHOT).parquet(feed.state)
-    _mark(spark, feed, "first", -1, "ignore")
+    _mark(spark, feed, "first", "", -1, "ignore")
 
 
-def _mark(spark: SparkSession, feed: Feed, name: str, batch_id: int, mode: str) -> None:
-    done = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"))
+def stream_id(spark: SparkSession, feed: Feed) -> str:
+    """The id that the checkpoint of the running stream keeps over all its restarts."""
+    return spark.read.schema("id STRING").json(f"{feed.checkpoint}/metadata").first()["id"]
+
+
+def _mark(spark: SparkSession, feed: Feed, name: str, stream: str, batch_id: int, mode: str) -> None:
+    done = spark.range(1).select(F.lit(stream).alias("stream"), F.lit(batch_id).cast("bigint").alias("batch_id"))
     done.write.mode(mode).json(f"{feed.marks}/{name}")
 
 
-def _is_marked(spark: SparkSession, feed: Feed, batch_id: int) -> bool:
-    marks = spark.read.schema("batch_id BIGINT").option("recursiveFileLookup", True).json(feed.marks)
-    return not marks.filter(F.col("batch_id") == batch_id).isEmpty()
+def _is_marked(spark: SparkSession, feed: Feed, stream: str, batch_id: int) -> bool:
+    marks = spark.read.schema("stream STRING, batch_id BIGINT").option("recursiveFileLookup", True).json(feed.marks)
+    return not marks.filter((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty()
 
 
 def _replace_days(df: DataFrame, path: str, mode: str) -> None:
@@ -89,28 +95,35 @@ def _replace_days(df: DataFrame, path: str, mode: str) -> None:
     )
 
 
-def merge_batch(batch: DataFrame, batch_id: int, feed: Feed) -> None:
-    """Merge one batch of bronze records into the state. Running a batch twice changes nothing."""
+def merge_batch(batch: DataFrame, batch_id: int, feed: Feed, stream: str = "") -> None:
+    """Merge one batch of bronze records into the state. Running a batch of a stream twice changes nothing."""
     spark, schema = batch.sparkSession, _state_schema()
-    if not _is_marked(spark, feed, batch_id):
+    if not _is_marked(spark, feed, stream, batch_id):
         fresh = latest_records(batch).select(*BRONZE_COLUMNS, SNAPSHOT).persist(StorageLevel.DISK_ONLY)
-        # A batch has few days; their dates become literals, which prune the partitions of the state.
-        days = [row[0] for row in fresh.select(SNAPSHOT).distinct().collect()]
-        touched = F.col(SNAPSHOT).isin([day for day in days if day is not None])
-        if None in days:
-            touched = touched | F.col(SNAPSHOT).isNull()
-        current = spark.read.schema(schema).parquet(feed.state).filter(touched)
-        _replace_days(newest(current.unionByName(fresh), "day"), feed.merged, "static")
-        _mark(spark, feed, "last", batch_id, "overwrite")
-        fresh.unpersist()
+        try:
+            # A batch has few days; their dates become literals, which prune the partitions of the state.
+            days = [row[0] for row in fresh.select(SNAPSHOT).distinct().collect()]
+            touched = F.col(SNAPSHOT).isin([day for day in days if day is not None])
+            if None in days:
+                touched = touched | F.col(SNAPSHOT).isNull()
+            current = spark.read.schema(schema).parquet(feed.state).filter(touched)
+            _replace_days(newest(current.unionByName(fresh), "day"), feed.merged, "static")
+            _mark(spark, feed, "last", stream, batch_id, "overwrite")
+        finally:
+            fresh.unpersist()
     _replace_days(spark.read.schema(schema).parquet(feed.merged), feed.state, "dynamic")
 
 
 def start_feed(bronze: DataFrame, feed: Feed) -> StreamingQuery:
     """Process everything that has arrived, in batches, then stop; a later start goes on from there."""
-    prepare_feed(bronze.sparkSession, feed)
+    spark = bronze.sparkSession
+    prepare_feed(spark, feed)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        merge_batch(batch, batch_id, feed, stream_id(spark, feed))
+
     return (
-        bronze.writeStream.foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, feed))
+        bronze.writeStream.foreachBatch(merge)
         .option("checkpointLocation", feed.checkpoint)
         .trigger(availableNow=True)
         .start()
