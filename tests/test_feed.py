@@ -1,6 +1,9 @@
 """The incremental feed against the batch build."""
 
+from functools import reduce
+
 import pytest
+from pyspark.sql import DataFrame
 
 from trendmill.plans.silver import silver_videos
 from trendmill.sources.bronze import land
@@ -45,6 +48,36 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
         assert rows_of(feed_silver(spark, feed)) == once
 
 
+@pytest.mark.parametrize("landed_again", [1, 2])
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path, landed_again):
+    """Batch numbers start again; also with as many batches as before."""
+    first, second = Feed(str(tmp_path / "feed")), str(tmp_path / "other")
+    for number, batch in enumerate(batches()[: landed_again + 1]):
+        land(records(spark, *batch), str(tmp_path / f"landing{number}"))
+    start_feed(stream_bronze(spark, str(tmp_path / "landing0")), first).awaitTermination()
+    for number in range(1, landed_again + 1):
+        class Renewed(Feed):
+            @property
+            def checkpoint(self):
+                return f"{second}/{number}"
+
+        start_feed(stream_bronze(spark, str(tmp_path / f"landing{number}")), Renewed(first.root)).awaitTermination()
+    everything = reduce(DataFrame.union, [records(spark, *batch) for batch in batches()[: landed_again + 1]])
+    assert rows_of(feed_silver(spark, first)) == rows_of(silver_videos(everything))
+
+
+def test_equal_times_are_decided_by_all_columns(spark, tmp_path):
+    pair = [at(1, 1, like_count=5, comment_count=None), at(1, 1, like_count=None, comment_count=5)]
+    found = []
+    for number, order in enumerate((pair, pair[::-1])):
+        feed = Feed(str(tmp_path / str(number)))
+        prepare_feed(spark, feed)
+        for batch, row in enumerate(order):
+            merge_batch(records(spark, row), batch, feed)
+        found += [rows_of(feed_silver(spark, feed)), rows_of(silver_videos(records(spark, *order)))]
+    assert len(found[0]) == 1 and all(rows == found[0] for rows in found)
+
+
 @pytest.mark.parametrize("broken_step", ["static", "dynamic"])
 def test_crash_in_a_batch_is_repaired_by_the_next_run(spark, tmp_path, monkeypatch, broken_step):
     feed, twin = Feed(str(tmp_path / "a")), Feed(str(tmp_path / "b"))

@@ -144,3 +144,22 @@ def test_declared_tests_number_47():
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     assert [tuple(r) for r in quality.duplicate_keys(df, F.col("k")).collect()] == [("a", 2)]
+
+
+def test_several_uniqueness_checks(spark):
+    df = records(spark, {}, {"video_id": "v0"}, {"region": None})
+    by_video = quality.expect_unique("by_video", F.col("video_id"))
+    by_region = quality.expect_unique("by_region", F.col("region"))
+    not_null = quality.expect_not_null("region_not_null", "region")
+    seen = {r.expectation: r for r in quality.validate(df, [by_video, not_null, by_region]).collect()}
+    assert seen["by_video"].unexpected_count == 2 and seen["by_region"].unexpected_count == 2
+    assert seen["region_not_null"].unexpected_count == 1
+    assert {r.element_count for r in seen.values()} == {3}
+
+
+def test_only_key_mask_and_count_are_shuffled(spark):
+    plan = checks.validate_bronze(records(spark, {}))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    first = plan[plan.rindex("Exchange hashpartitioning") :].splitlines()
+    below = next(line for line in first[1:] if "HashAggregate" in line)
+    assert "partial_count(1)" in below and below.count("partial_") == 1

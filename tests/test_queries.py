@@ -13,11 +13,15 @@ def con():
     return connect(SF_DIR)
 
 
+#: The operators for training text are tested beside them.
+OWN = [name for name in entry.queries() if name != "pipeline" and not (entry.llm and name in entry.llm.queries())]
+
+
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, con, name):
     df, sql = entry.queries()[name](spark, SF_DIR), entry.oracle_sql()[name]
     assert spark_types(df) == duckdb_types(con, sql)

@@ -131,12 +131,6 @@ def test_ntile_sizes(spark):
     assert [row["count"] for row in seen] == [3, 3, 2, 2, 2]
 
 
-def test_broadcast_needs_a_small_table(spark):
-    small, large = spark.range(10), spark.range(2000)
-    assert "broadcast" in scale.broadcast_if_small(small, 1000)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in scale.broadcast_if_small(large, 1000)._jdf.queryExecution().logical().toString()
-
-
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k string, m bigint, id string")
     assert ranking.row_number_in_group(df, ["k"], [F.desc("m")], "rn").count() == 0

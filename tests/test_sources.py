@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from trendmill.plans.silver import silver_videos
 from trendmill.schemas import BRONZE, SILVER, SILVER_PARTITIONS
+from trendmill.operators.lookup import literal_dimension
 from trendmill.session import scratch_root, stage
 from trendmill.sources import bronze, tables
 from test_quality import GOOD, records
@@ -108,14 +109,27 @@ def test_registration(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("a", [1, 2]), ("b", None)], "p string, v array<int>")
     tables.write_table(df, path, ["p"])
+    schema = "p string, v array<int>"
     for _ in range(2):
-        tables.register_table(spark, "trendmill_test.t", path)
+        tables.register_table(spark, "trendmill_test.t", path, schema, ["p"])
         seen = tables.read_catalog(spark, "trendmill_test.t")
         assert (seen.count(), dict(seen.dtypes)["v"]) == (2, "array<int>")
+    spark.sql("ALTER TABLE trendmill_test.t SET TBLPROPERTIES ('kept' = 'yes')")
+    changed = spark.createDataFrame([("b", [3]), ("c", [4])], schema)
+    tables.replace_partitions(changed, path, ["p"], [{"p": "a"}, {"p": "b"}])
+    tables.register_table(spark, "trendmill_test.t", path, schema, ["p"])
+    assert sorted(r.p for r in spark.table("trendmill_test.t").collect()) == ["b", "c"]
+    assert [r.value for r in spark.sql("SHOW TBLPROPERTIES trendmill_test.t ('kept')").collect()] == ["yes"]
     spark.sql("DROP DATABASE trendmill_test CASCADE")
     assert spark.read.parquet(path).count() == 2
 
 
+def test_names_of_a_dimension_are_literals(spark):
+    names = {1: "Rock 'n' Roll", 2: 'say "x"'}
+    rows = literal_dimension(spark, names, "k", "v").collect()
+    assert {r.k: r.v for r in rows} == names
+
+
 def test_database_names():
     assert tables.database_for(None, "main") == "main"
     assert tables.database_for(" marts ", "main") == "marts"

@@ -92,18 +92,21 @@ def validate(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
         ]
         keyed = df.select(F.inline(F.array(*entries)))
     counted = keyed.groupBy("check", "key", "mask").agg(F.count(F.lit(1)).alias("n"))
-    by_mask = counted.filter("check = 0").select(F.lit(-1).alias("check"), "mask", "n")
-    by_key = counted.groupBy("check", "key").agg(F.sum("n").alias("n")).filter("n > 1")
-    parts = by_mask.unionByName(by_key.select("check", F.lit(0).cast("bigint").alias("mask"), "n"))
+    # A key has few masks, so its counts meet in a short list, without a second read of the input.
+    per_key = counted.groupBy("check", "key").agg(F.sum("n").alias("rows"), F.collect_list(F.struct("mask", "n")).alias("parts"))
+    parts = per_key.select("check", "rows", F.posexplode("parts").alias("at", "part")).select("check", "rows", "at", "part.*")
 
-    def total(condition: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias(name)
+    def total(condition: Column, of: str, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(of))), F.lit(0)).alias(name)
 
-    of_rows = F.col("check") == -1
+    first = F.col("check") == 0
     totals = parts.agg(
-        total(of_rows, "rows"),
-        *[total(of_rows & F.getbit("mask", F.lit(i)).cast("boolean"), f"{part}_{name}") for i, (name, part) in enumerate(bits)],
-        *[total(F.col("check") == i, f"bad_{e.name}") for i, e in enumerate(uniques)],
+        total(first, "n", "rows"),
+        *[total(first & (F.getbit("mask", F.lit(i)) == 1), "n", f"{part}_{name}") for i, (name, part) in enumerate(bits)],
+        *[
+            total((F.col("check") == i) & (F.col("at") == 0) & (F.col("rows") > 1), "rows", f"bad_{e.name}")
+            for i, e in enumerate(uniques)
+        ],
     )
     return totals.select(F.inline(F.array(*map(_result, expectations))))
 
