@@ -18,13 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendmill.llm.words import flat, slices, texts_only
+from trendmill.llm.words import flat, larger_slices, texts_only
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_SIGN = "▁"  # stands for a space in pieces, and is read as one in texts
-MEMO_WORDS = 200_000  # encoded words that a worker remembers
-MEMO_PAIRS = 1 << 20  # tested pairs that it remembers
-SLICE_BYTES = 3 << 20
+MEMO_WORDS = 400_000  # encoded words that a worker remembers
+MEMO_PAIRS = 1 << 21  # tested pairs that it remembers
+SLICE_BYTES = 8 << 20
 
 ENCODED = "doc_id BIGINT, token_ids ARRAY<INT>, n_tokens BIGINT, restored BOOLEAN"
 
@@ -310,7 +310,7 @@ def encoded(docs: DataFrame, model: str = MODEL, id_column: str = "doc_id", text
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(shared.value)
-        for batch in slices(batches, "text", SLICE_BYTES):
+        for batch in larger_slices(batches, "text", SLICE_BYTES):
             ids = coder.encode(batch["text"])
             plain = pc.replace_substring(pc.fill_null(batch["text"], ""), SPACE_SIGN, " ")
             same = pc.equal(coder.decode(ids), plain.cast(pa.string()))

@@ -48,6 +48,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(start, end - start)
 
 
+def larger_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """As ``slices``, but also putting small batches together, where work on few words costs as much as on many."""
+    held, size = [], 0
+    for part in slices(batches, column, limit):
+        held.append(part)
+        size += pc.sum(pc.binary_length(part[column])).as_py() or 0
+        if size >= limit // 2 or sum(x.num_rows for x in held) >= 1 << 16:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def per_slice(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str) -> DataFrame:
     """Apply ``work`` to every slice of the rows, in the tasks that read them."""
 
