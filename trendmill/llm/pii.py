@@ -153,7 +153,7 @@ def pseudonymised(docs: DataFrame, key: str, text_column: str = "text", back: bo
     """``docs`` with pseudonyms in the text column and all other columns as they are.
 
     key: a secret; the same key gives the same pseudonyms, and ``back`` undoes those of numbers and
-    dates. Cards must pass Luhn's check and get a new check digit; dates must exist and lie within
+    dates (but for dates written month first, whose pseudonym may also be read day first). Cards must pass Luhn's check and get a new check digit; dates must exist and lie within
     the range of FIRST_DAY; social security numbers must be of an area that was given out;
     telephone numbers have 8 to 18 digits and keep their country code. What is not valid stays.
     """

@@ -74,8 +74,10 @@ def _lines(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, bounds, n = words.data, words.bounds, len(words.counts)
     starts = np.union1d(bounds[:-1], np.flatnonzero(data == 10) + 1)
     starts = starts[starts < len(data)]
+    if not len(starts):
+        return (np.zeros(n, np.int64),) * 3
     ends = np.append(starts[1:], len(data))
-    with_break = data[ends - 1] == 10 if len(ends) else ends
+    with_break = data[ends - 1] == 10
     lines = pa.Array.from_buffers(
         pa.large_binary(), len(starts),
         [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)],
