@@ -61,8 +61,8 @@ def fingerprints(docs: DataFrame, size: int = 4, id_column: str = "doc_id", text
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
-    """First bit and end of so few segments that one of them differs in one bit at most."""
-    n = max_bits // 2 + 1
+    """First bit and end of so few segments (two at least) that one of them differs in one bit at most."""
+    n = max(2, max_bits // 2 + 1)
     cuts = [round(i * BITS / n) for i in range(n + 1)]
     return list(zip(cuts[:-1], cuts[1:], strict=True))
 
