@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -18,6 +19,7 @@ def make_session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"file://{tempfile.gettempdir()}/trendmill-tests")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
