@@ -324,20 +324,18 @@ def latest_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(latest_records(shifted).select(*ENTITY, SNAPSHOT, "title", "description", "view_count", "like_count", "comment_count"))
 
 
-LATE_DAY = "2024-01-16"
-
-
 def _late_lake(spark: SparkSession, sf_dir: str) -> daily.Lake:
     """A lake built without some records of a day, and with a region that this day later loses; then the day is replaced."""
     lake = daily.Lake(scratch_path(configure(spark), "lake"))
     bronze = _bronze(spark, sf_dir)
-    of_day = F.col("ingested_at").startswith(LATE_DAY)
+    late_day = bronze.agg(F.mode(F.substring("ingested_at", 1, 10))).first()[0]
+    of_day = F.col("ingested_at").startswith(late_day)
     early = bronze.filter(~of_day | (F.col("comment_count") % 3 != 0))
     lost = bronze.filter(of_day & (F.col("region") == "US")).withColumn("region", F.lit("ZZ"))
     daily.build_silver(early.unionByName(lost), lake)
     daily.build_gold(spark, lake)
-    daily.build_silver(bronze.filter(of_day), lake, day=LATE_DAY)
-    daily.build_gold(spark, lake, LATE_DAY)
+    daily.build_silver(bronze.filter(of_day), lake, day=late_day)
+    daily.build_gold(spark, lake, late_day)
     return lake
 
 

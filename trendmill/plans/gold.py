@@ -1,4 +1,7 @@
-"""Gold: ranks, category and channel statistics, and growth per snapshot (TB2-TB5)."""
+"""Gold: ranks, category and channel statistics, and growth per snapshot (TB2-TB5).
+
+The lists of column names are fixed values: the columns that the tables must have.
+"""
 
 from __future__ import annotations
 

@@ -2,6 +2,8 @@
 
 Rows come unordered; ``REPORT_ORDER`` gives the order of each report. Writers sort files by it, and
 :func:`in_report_order` sorts a result for reading.
+
+The lists of column names are fixed values: the columns that the tables must have.
 """
 
 from __future__ import annotations

@@ -1,4 +1,7 @@
-"""Staging: gold with names and labels added and missing measures set to zero (TB6-TB9)."""
+"""Staging: gold with names and labels added and missing measures set to zero (TB6-TB9).
+
+The lists of column names are fixed values: the columns that the tables must have.
+"""
 
 from __future__ import annotations
 
