@@ -17,7 +17,9 @@ from trendmill.session import stage
 
 BITS = 64
 SEED = 42
-BLOCK = 2048  # fingerprints of a group that one row of the comparison holds
+BLOCK = 2048  # fingerprints of a group that are compared with each other at once
+ROWS_HELD = 1 << 15
+SHINGLES_AT_ONCE = 1 << 17
 
 FINGERPRINTS = T.StructType().add("doc_id", T.LongType()).add("text_hash", T.LongType()).add("fp", T.LongType())
 LINKS = T.StructType().add("a", T.LongType()).add("b", T.LongType())
@@ -26,20 +28,22 @@ LINKS = T.StructType().add("a", T.LongType()).add("b", T.LongType())
 def _fingerprints(texts: pa.Array, size: int) -> np.ndarray:
     words = Words(texts, lower=True)
     text, starts, ends = words.joined()
-    out = np.zeros(len(texts), np.uint64)
     begins = words.windows(size, short=True)
     if not len(begins):
-        return out
+        return np.zeros(len(texts), np.uint64)
     text_of = words.text_of[begins]
     finish = ends[np.minimum(begins + size, words.first[1:][text_of]) - 1]
     view, digest = memoryview(text), xxhash.xxh64_intdigest
     spans = zip(starts[begins].tolist(), finish.tolist(), strict=True)
     hashes = np.array([digest(view[s:e], SEED) for s, e in spans], np.uint64)
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    full, first, count = np.unique(text_of, return_index=True, return_counts=True)
-    ones = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
-    out[full] = np.packbits(2 * ones > count[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
-    return out
+    count = np.bincount(text_of, minlength=len(texts))
+    ones = np.zeros((len(texts), BITS), np.int64)
+    for at in range(0, len(hashes), SHINGLES_AT_ONCE):
+        some = slice(at, at + SHINGLES_AT_ONCE)
+        bits = np.unpackbits(hashes[some].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        own, first = np.unique(text_of[some], return_index=True)
+        ones[own] += np.add.reduceat(bits, first, axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > count[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
 def fingerprints(docs: DataFrame, size: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -133,47 +137,66 @@ def links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     task ever holds a whole large group, and each yields a spanning forest instead of all pairs.
     """
     key = _variant(max_bits).alias("key")
-    variants = distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))).alias("bit")).select("fp", key)
+    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = distinct.repartition(n, "fp").select("fp", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))).alias("bit")).select("fp", key)
     counts = variants.groupBy("key").agg(F.count("*").alias("n"))
     large = stage(counts.where(F.col("n") > BLOCK), "large")
-    if large.isEmpty():
-        rest, hot = variants, None
-    else:
-        rest = variants.join(large, "key", "left_anti")
-        hot = variants.join(large, "key").select(
-            "key", "fp", F.ceil(F.col("n") / (BLOCK // 2)).cast("int").alias("blocks")
-        )
-    ordinary = rest.groupBy("key").agg(F.collect_list("fp").alias("own")).where(F.size("own") > 1)
-    ordinary = ordinary.select("own", F.expr("CAST(array() AS array<bigint>)").alias("others"))
-    if hot is not None:
-        ordinary = ordinary.unionByName(_blocked(hot))
+    one = F.lit(0)
+    rows = variants.join(large, "key", "left_anti").select("key", one.alias("i"), one.alias("j"), one.alias("side"), "fp")
+    if not large.isEmpty():
+        rows = rows.unionByName(_blocked(variants.join(large, "key")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own, others = batch["own"], batch["others"]
-            found = list(
-                _linked(
-                    own.flatten().to_numpy(), own.value_lengths().to_numpy().astype(np.int64),
-                    others.flatten().to_numpy(), others.value_lengths().to_numpy().astype(np.int64), max_bits,
-                )
-            )
+        for fp, sizes, n_others in _groups(batches):
+            at = np.repeat(n_others, sizes)
+            place = np.arange(len(fp)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            other = place >= np.repeat(sizes, sizes) - at
+            found = list(_linked(fp[~other], sizes - n_others, fp[other], n_others, max_bits))
             pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
             pairs = np.unique(np.sort(pairs, axis=0), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[1]), pa.array(pairs[0])], ["a", "b"])
 
-    return ordinary.mapInArrow(compare, LINKS).distinct()
+    dealt = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+    return dealt.mapInArrow(compare, LINKS).distinct()
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Fingerprints of whole groups out of sorted rows, some tens of thousands at a time, with the
+    size of each group and how many of its rows, the last ones, are of side 1."""
+    held, n = [], 0
+
+    def whole(last: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        nonlocal held, n
+        columns = [np.concatenate([part[c] for part in held]) for c in range(5)]
+        key, i, j, side, fp = columns
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
+        end = len(key) if last else starts[-1]  # the last group may go on
+        held, n = [[x[end:] for x in columns]], len(key) - end
+        starts = starts[starts < end]
+        if len(starts):
+            sizes = np.diff(np.append(starts, end))
+            some = sizes > 1
+            keep = np.repeat(some, sizes)
+            yield fp[:end][keep], sizes[some], np.add.reduceat(side[:end].astype(np.int64), starts)[some]
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append([batch[name].to_numpy() for name in ("key", "i", "j", "side", "fp")])
+            n += batch.num_rows
+            if n >= ROWS_HELD:
+                yield from whole(last=False)
+    if n:
+        yield from whole(last=True)
 
 
 def _blocked(hot: DataFrame) -> DataFrame:
-    """Large groups as rows of one block, or of two blocks to be compared with each other."""
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    """Rows of large groups, once for each pair of blocks that they are in; a block's pair with itself has side 0 alone."""
+    blocks = F.ceil(F.col("n") / (BLOCK // 2)).cast("int")
+    rows = hot.select("key", "fp", blocks.alias("blocks"), F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("block"))
     pair = F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, block) AS i, greatest(x, block) AS j))")
-    rows = hot.withColumn("block", block).select("key", "fp", "block", F.explode(pair).alias("at"))
-    first = F.when(F.col("block") == F.col("at.i"), F.col("fp"))
-    second = F.when((F.col("block") == F.col("at.j")) & (F.col("at.i") != F.col("at.j")), F.col("fp"))
-    return rows.groupBy("key", "at").agg(
-        F.collect_list(first).alias("own"), F.collect_list(second).alias("others")
-    ).where("size(own) + size(others) > 1").select("own", "others")
+    rows = rows.select("key", "fp", "block", F.explode(pair).alias("at"))
+    side = ((F.col("block") == F.col("at.j")) & (F.col("at.i") != F.col("at.j"))).cast("int")
+    return rows.select("key", "at.i", "at.j", side.alias("side"), "fp")
 
 
 def near_duplicates(prints: DataFrame, max_bits: int = 4) -> DataFrame:
