@@ -22,9 +22,10 @@ from trendmill.llm.words import flat, larger_slices, texts_only
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_SIGN = "▁"  # stands for a space in pieces, and is read as one in texts
-MEMO_WORDS = 400_000  # encoded words that a worker remembers
+MEMO_WORDS = 300_000  # encoded words that a worker remembers
 MEMO_PAIRS = 1 << 21  # tested pairs that it remembers
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+GATHERED = 1 << 17  # stretches
 
 ENCODED = "doc_id BIGINT, token_ids ARRAY<INT>, n_tokens BIGINT, restored BOOLEAN"
 
@@ -292,11 +293,15 @@ class Coder:
 
 
 def _gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """The stretches of data that the codes stand for, one after the other."""
-    count = sizes[codes]
-    ends = np.cumsum(count)
-    shift = np.repeat(starts[codes] - (ends - count), count)
-    return data[shift + np.arange(len(shift))]
+    """The stretches of data that the codes stand for, one after the other; some at a time, as places take more room than data."""
+    parts = [np.empty(0, data.dtype)]
+    for at in range(0, len(codes), GATHERED):
+        some = codes[at : at + GATHERED]
+        count = sizes[some]
+        shift = np.repeat(starts[some] - (np.cumsum(count) - count), count)
+        shift += np.arange(len(shift))
+        parts.append(data[shift])
+    return np.concatenate(parts)
 
 
 def encoded(docs: DataFrame, model: str = MODEL, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
