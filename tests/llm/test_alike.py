@@ -1,0 +1,74 @@
+import itertools
+
+import numpy as np
+
+import corpus_pipeline
+from trendmill.llm import alike, simhash
+from conftest_llm import words_of
+
+
+def shingles(text, size=5):
+    words = words_of("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return frozenset(" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def share(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def groups_of(texts, least=0.8):
+    """By brute force: the smallest id that each text's exact similarities lead to."""
+    sets, root = {i: shingles(t) for i, t in texts.items()}, {i: i for i in texts}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(texts), 2):
+        if share(sets[a], sets[b]) >= least:
+            low, high = sorted((top(a), top(b)))
+            root[high] = low
+    return {i: top(i) for i in texts}
+
+
+def planted(pairs=60):
+    """Pairs of random texts at similarities of about 0.8 to 0.9, and some below."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for k in range(pairs):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 400)]
+        other = list(words)
+        for at in rng.choice(80, 4 + k % 7, replace=False):
+            other[5 * at] = "changed"
+        texts += [" ".join(words), " ".join(other)]
+    return texts
+
+
+def kept_ids(df):
+    return {r.doc_id for r in df.select("doc_id").collect()}
+
+
+def test_pairs_of_four_in_five_shingles_are_found(spark, docs_of):
+    texts = planted()
+    sets = [shingles(t) for t in texts]
+    near = [k for k in range(0, len(texts), 2) if share(sets[k], sets[k + 1]) >= 0.8]
+    kept = kept_ids(corpus_pipeline.one_of_each_group(spark, docs_of(*texts), ""))
+    found = [k for k in near if k + 1 not in kept]
+    assert len(near) > 30 and len(found) >= 0.95 * len(near)
+    assert kept >= {k + x for k in range(0, len(texts), 2) if k not in near for x in (0, 1)}
+
+
+def test_blocks_and_dense_groups(docs_of, monkeypatch):
+    """Many near copies of one text, in blocks, are one group; empty and short texts; repeated rows."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    base = [f"b{i}" for i in range(300)]
+    texts = [" ".join([*base[:k], "x", *base[k + 1 :]]) for k in range(0, 300, 5)] + ["", None, "one", "one", "a b c", "A B C"]
+    kept = kept_ids(alike.keep_one(docs_of(*texts)))
+    assert kept == set(groups_of(dict(enumerate(texts))).values())
+
+
+def test_documents_as_by_exact_similarity(tables):
+    docs = tables("documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert kept_ids(alike.keep_one(docs)) == set(groups_of(texts).values())

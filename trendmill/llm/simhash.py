@@ -25,19 +25,24 @@ FINGERPRINTS = T.StructType().add("doc_id", T.LongType()).add("text_hash", T.Lon
 LINKS = T.StructType().add("a", T.LongType()).add("b", T.LongType())
 
 
-def _fingerprints(texts: pa.Array, size: int) -> np.ndarray:
+def shingle_hashes(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of each shingle, and the number of the text that it is of."""
     words = Words(texts, lower=True)
     text, starts, ends = words.joined()
     begins = words.windows(size, short=True)
     if not len(begins):
-        return np.zeros(len(texts), np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     text_of = words.text_of[begins]
     finish = ends[np.minimum(begins + size, words.first[1:][text_of]) - 1]
     view, digest = memoryview(text), xxhash.xxh64_intdigest
     spans = zip(starts[begins].tolist(), finish.tolist(), strict=True)
-    hashes = np.array([digest(view[s:e], SEED) for s, e in spans], np.uint64)
-    count = np.bincount(text_of, minlength=len(texts))
-    ones = np.zeros((len(texts), BITS), np.int64)
+    return np.array([digest(view[s:e], SEED) for s, e in spans], np.uint64), text_of
+
+
+def majority(hashes: np.ndarray, text_of: np.ndarray, n: int) -> np.ndarray:
+    """For each of n texts the bits that more than half of its hashes have."""
+    count = np.bincount(text_of, minlength=n)
+    ones = np.zeros((n, BITS), np.int64)
     for at in range(0, len(hashes), SHINGLES_AT_ONCE):
         some = slice(at, at + SHINGLES_AT_ONCE)
         bits = np.unpackbits(hashes[some].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -46,6 +51,10 @@ def _fingerprints(texts: pa.Array, size: int) -> np.ndarray:
     return np.packbits(2 * ones > count[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
+def _fingerprints(texts: pa.Array, size: int) -> np.ndarray:
+    return majority(*shingle_hashes(texts, size), len(texts))
+
+
 def fingerprints(docs: DataFrame, size: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, text_hash (XXH64 of the text) and fp, the 64-bit fingerprint as a signed long.
 
@@ -144,10 +153,10 @@ def links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     one = F.lit(0)
     rows = variants.join(large, "key", "left_anti").select("key", one.alias("i"), one.alias("j"), one.alias("side"), "fp")
     if not large.isEmpty():
-        rows = rows.unionByName(_blocked(variants.join(large, "key")))
+        rows = rows.unionByName(blocked(variants.join(large, "key")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for fp, sizes, n_others in _groups(batches):
+        for (fp,), sizes, n_others in groups(batches):
             at = np.repeat(n_others, sizes)
             place = np.arange(len(fp)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             other = place >= np.repeat(sizes, sizes) - at
@@ -160,15 +169,15 @@ def links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     return dealt.mapInArrow(compare, LINKS).distinct()
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Fingerprints of whole groups out of sorted rows, some tens of thousands at a time, with the
+def groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...] = ("fp",)) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Columns ``names`` of whole groups out of sorted rows, some tens of thousands at a time, with the
     size of each group and how many of its rows, the last ones, are of side 1."""
     held, n = [], 0
 
-    def whole(last: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def whole(last: bool) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
         nonlocal held, n
-        columns = [np.concatenate([part[c] for part in held]) for c in range(5)]
-        key, i, j, side, fp = columns
+        columns = [np.concatenate([part[c] for part in held]) for c in range(4 + len(names))]
+        key, i, j, side = columns[:4]
         starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
         end = len(key) if last else starts[-1]  # the last group may go on
         held, n = [[x[end:] for x in columns]], len(key) - end
@@ -177,11 +186,11 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
             sizes = np.diff(np.append(starts, end))
             some = sizes > 1
             keep = np.repeat(some, sizes)
-            yield fp[:end][keep], sizes[some], np.add.reduceat(side[:end].astype(np.int64), starts)[some]
+            yield [x[:end][keep] for x in columns[4:]], sizes[some], np.add.reduceat(side[:end].astype(np.int64), starts)[some]
 
     for batch in batches:
         if batch.num_rows:
-            held.append([batch[name].to_numpy() for name in ("key", "i", "j", "side", "fp")])
+            held.append([batch[name].to_numpy() for name in ("key", "i", "j", "side", *names)])
             n += batch.num_rows
             if n >= ROWS_HELD:
                 yield from whole(last=False)
@@ -189,14 +198,14 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         yield from whole(last=True)
 
 
-def _blocked(hot: DataFrame) -> DataFrame:
+def blocked(hot: DataFrame, names: tuple[str, ...] = ("fp",), size: str = "n") -> DataFrame:
     """Rows of large groups, once for each pair of blocks that they are in; a block's pair with itself has side 0 alone."""
-    blocks = F.ceil(F.col("n") / (BLOCK // 2)).cast("int")
-    rows = hot.select("key", "fp", blocks.alias("blocks"), F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("block"))
+    blocks = F.ceil(F.col(size) / (BLOCK // 2)).cast("int")
+    rows = hot.select("key", *names, blocks.alias("blocks"), F.pmod(F.xxhash64(names[0]), blocks).cast("int").alias("block"))
     pair = F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, block) AS i, greatest(x, block) AS j))")
-    rows = rows.select("key", "fp", "block", F.explode(pair).alias("at"))
+    rows = rows.select("key", *names, "block", F.explode(pair).alias("at"))
     side = ((F.col("block") == F.col("at.j")) & (F.col("at.i") != F.col("at.j"))).cast("int")
-    return rows.select("key", "at.i", "at.j", side.alias("side"), "fp")
+    return rows.select("key", "at.i", "at.j", side.alias("side"), *names)
 
 
 def near_duplicates(prints: DataFrame, max_bits: int = 4) -> DataFrame:
@@ -226,7 +235,11 @@ def keep_one(docs: DataFrame, size: int = 5, max_bits: int = 7, id_column: str =
     Of rows with the same id in a group, the one with the smallest hash of its text stays, and of
     rows that repeat id and text, one. All columns are kept.
     """
-    marked = near_duplicates(fingerprints(docs, size, id_column, text_column), max_bits)
+    return first_of_each(docs, near_duplicates(fingerprints(docs, size, id_column, text_column), max_bits), id_column, text_column)
+
+
+def first_of_each(docs: DataFrame, marked: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``docs`` with the first row of each component of ``marked`` (doc_id, text_hash, component), as ``keep_one`` says."""
     counted = marked.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
     order = F.struct(F.isnull("doc_id"), "doc_id", "text_hash")
     kept = counted.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_hash", "copies"), order).alias("kept"))
