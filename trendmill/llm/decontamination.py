@@ -110,18 +110,25 @@ class Templates:
         self.kind = np.select([number, quantity, unit, name], [NUMBER, QUANTITY, UNIT, NAME], LITERAL)
         self.code = np.where(self.kind == LITERAL, self.value, _OF_KIND[self.kind])
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """With which words windows of ``size`` words begin, at least half of them literals, and their keys."""
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """With which words windows of ``size`` words begin, their keys, and which of these are of the words' values.
+
+        Windows with at least half literals have the key of their template, others that of their values.
+        """
         begins = np.arange(max(0, len(self.code) - size + 1))
         beyond = np.repeat(self.first[1:], np.diff(self.first))[: len(begins)]
+        begins = begins[begins + size <= beyond]
         literal = _sums((self.kind == LITERAL).astype(np.int64))
-        begins = begins[(begins + size <= beyond) & (2 * (literal[begins + size] - literal[begins]) >= size)]
-        return begins, _runs(self.code, begins, begins + size)
+        literals = literal[begins + size] - literal[begins]
+        typed, exact = begins[2 * literals >= size], begins[2 * literals < size]
+        keys = np.append(_runs(self.code, typed, typed + size), _runs(self.value, exact, exact + size))
+        return np.append(typed, exact), keys, np.repeat([False, True], [len(typed), len(exact)])
 
-    def rows(self, batch: pa.RecordBatch, size: int, begins: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    def rows(self, batch: pa.RecordBatch, size: int, begins: np.ndarray, keys: np.ndarray, exact: np.ndarray) -> pa.RecordBatch:
         text_of = np.searchsorted(self.first, begins, "right") - 1
         slot = np.flatnonzero(self.kind != LITERAL)
-        low, high = np.searchsorted(slot, begins), np.searchsorted(slot, begins + size)
+        low = np.searchsorted(slot, begins)
+        high = np.where(exact, low, np.searchsorted(slot, begins + size))
         bounds = np.append(0, np.cumsum(high - low))
         picked = np.arange(bounds[-1]) - np.repeat(bounds[:-1] - low, high - low)
         slots = pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(self.value[slot[picked]].view(np.int64)))
@@ -147,9 +154,9 @@ def item_windows(items: DataFrame, size: int = SIZE, id_column: str = "item_id",
             templates = Templates(batch["text"])
             lengths = np.diff(templates.first)
             for own in {size, *lengths[lengths < size].tolist()} - {0}:
-                begins, keys = templates.windows(own)
+                begins, keys, exact = templates.windows(own)
                 whole = np.minimum(lengths, size)[np.searchsorted(templates.first, begins, "right") - 1] == own
-                yield templates.rows(batch, own, begins[whole], keys[whole])
+                yield templates.rows(batch, own, begins[whole], keys[whole], exact[whole])
 
     return _texts(items, id_column, text_column).mapInArrow(work, WINDOWS)
 
@@ -162,11 +169,11 @@ def document_windows(docs: DataFrame, sizes: Iterable[int], bits: Broadcast, id_
         for batch in slices(batches, "text"):
             templates = Templates(batch["text"])
             for size in sizes:
-                begins, keys = templates.windows(size)
+                begins, keys, exact = templates.windows(size)
                 place = keys & np.uint64((1 << FILTER_BITS) - 1)
                 hit = (wanted[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
                 if hit.any():
-                    yield templates.rows(batch, size, begins[hit], keys[hit])
+                    yield templates.rows(batch, size, begins[hit], keys[hit], exact[hit])
 
     return _texts(docs, id_column, text_column).mapInArrow(work, WINDOWS)
 
@@ -189,7 +196,8 @@ def matches(
 ) -> DataFrame:
     """doc_id, text_hash, item_id, at, end, item_words, covered, n_changed, kind of each passage found.
 
-    A passage is made of windows at one offset between a document and an item. Its slots are
+    A passage is made of windows at one offset between a document and an item. Windows with fewer
+    than half literals are only found with the item's own words. Its slots are
     consistent if every value of the item has one value in the document throughout. Then all its
     windows count, and otherwise those whose slots are as in the item; covered is the number of the
     item's words in them, and passages of ``enough`` words, or all words of a shorter item, are
