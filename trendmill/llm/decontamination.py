@@ -113,14 +113,15 @@ class Templates:
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """With which words windows of ``size`` words begin, their keys, and which of these are of the words' values.
 
-        Windows with at least half literals have the key of their template, others that of their values.
+        Windows with at least half literals have the key of their template, and all that have a slot
+        also that of their values, which is the template's key where the same words are literals.
         """
         begins = np.arange(max(0, len(self.code) - size + 1))
         beyond = np.repeat(self.first[1:], np.diff(self.first))[: len(begins)]
         begins = begins[begins + size <= beyond]
         literal = _sums((self.kind == LITERAL).astype(np.int64))
         literals = literal[begins + size] - literal[begins]
-        typed, exact = begins[2 * literals >= size], begins[2 * literals < size]
+        typed, exact = begins[2 * literals >= size], begins[literals < size]
         keys = np.append(_runs(self.code, typed, typed + size), _runs(self.value, exact, exact + size))
         return np.append(typed, exact), keys, np.repeat([False, True], [len(typed), len(exact)])
 
@@ -196,8 +197,9 @@ def matches(
 ) -> DataFrame:
     """doc_id, text_hash, item_id, at, end, item_words, covered, n_changed, kind of each passage found.
 
-    A passage is made of windows at one offset between a document and an item. Windows with fewer
-    than half literals are only found with the item's own words. Its slots are
+    A passage is made of windows at one offset between a document and an item. All windows are
+    found with the item's own words, in whatever case and surroundings, and those with at least half
+    literals also with other values. Its slots are
     consistent if every value of the item has one value in the document throughout. Then all its
     windows count, and otherwise those whose slots are as in the item; covered is the number of the
     item's words in them, and passages of ``enough`` words, or all words of a shorter item, are
