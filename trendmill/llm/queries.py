@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import decontamination, pieces, pii, quality, rules, sharding, simhash, substrings, tokencounts, warc
+from trendmill.llm import (
+    decontamination, licenses, merkle, pieces, pii, quality, rules, sharding, simhash, substrings, tokencounts, warc, whitening,
+)
 from trendmill.llm.words import read
 
 PII_KEY = "a key of the pipeline's own"  # a secret of the deployment, where results leave it
@@ -64,6 +66,28 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *base, "base_failed", "kept", "posterior")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read(spark, sf_dir, "embeddings"), 32)
+
+
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    other = F.when(picked, merkle.leaf([more if name == "n_chars" else F.col(name) for name in LEAF]))
+    rows = merkle.manifest(docs, LEAF, carry={"tampered": other})
+    again = merkle.folded(F.coalesce("tampered", "leaf"), F.col("steps"))
+    rows = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), again.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scanned(read(spark, sf_dir, "documents")))
+
+
 OP5_SQL = """
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 sized AS (
