@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import alike, decontamination, pieces, pii, quality
+from trendmill.llm import decontamination, pieces, pii, quality, simhash
 from trendmill.llm.queries import PII_KEY
 from trendmill.llm.words import read
 from trendmill.session import stage
 
-SHINGLE = 5  # words
-SHARE = 0.8  # of two documents' shingles, in both: near-duplicates
+SHINGLE = 4  # words
+MAX_BITS = 4  # in which the fingerprints of near-duplicates may differ
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """With one document of each group of near-duplicates, that of the smallest id."""
-    return alike.keep_one(docs, SHINGLE, SHARE)
+    return simhash.keep_one(docs, SHINGLE, MAX_BITS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
