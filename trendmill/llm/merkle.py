@@ -19,6 +19,9 @@ from trendmill.operators.scale import join_on_group
 from trendmill.session import stage
 
 
+LEVELS_AT_ONCE = 6  # joins of one job on the way down
+
+
 def encoded(column: Column) -> Column:
     """``-`` for null, else the UTF-8 byte count, a colon, and the value; integers are decimal."""
     text = column.cast("string")
@@ -110,6 +113,8 @@ def _paths(levels: list[DataFrame], ends: DataFrame, arity: int, names: list[str
         found = own.join(above, ["grp", "up"]).select("grp", "i", F.concat(F.array("step"), "more").alias("steps"), *names)
         lone = ends.where(F.col("level") == level).select("grp", F.lit(0).cast("long").alias("i"), "steps", *names)
         found = found.unionByName(lone)
+        if level and level % LEVELS_AT_ONCE == 0:
+            found = stage(found, "paths")
     return found
 
 
@@ -139,7 +144,7 @@ def manifest(
     ``docs`` may have any name.
 
     Digests alone are shuffled, never texts. Levels are stored in the shared folder, so each step
-    reads what the one before has written; the way down is one job over the stored levels.
+    reads what the one before has written; so do the paths, every few levels on the way down.
     """
     carry, spark = carry or {}, docs.sparkSession
     values = [docs[f"`{name}`"] for name in columns]
