@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
@@ -14,8 +15,8 @@ from trendmill.functions.parsing import duration_seconds as seconds_of
 from trendmill.functions.parsing import to_timestamp
 from trendmill.operators.aggregates import distinct_values
 from trendmill.operators.aggregates import loss_accounting as losses
-from trendmill.operators.quality import SUMMARY, duplicate_keys, summarize, violations
-from trendmill.operators.scale import largest_group
+from trendmill.operators.quality import SUMMARY, all_violations, duplicate_keys, summarize
+from trendmill.operators.scale import largest_group, numbered
 from trendmill.operators.tabletests import row_counts, run_table_tests, value_histogram
 from trendmill.plans import checks, daily, gold, marts, staging
 from trendmill.plans.silver import ENTITY, SNAPSHOT, latest_records
@@ -25,6 +26,7 @@ from trendmill.session import configure, scratch_path, stage
 from trendmill.sources import bronze as raw
 from trendmill.sources.events import bronze_from_events, payloads_from_events, read_events
 from trendmill.sources.tables import read_catalog, read_table, register_table, write_table
+from trendmill.sources.versions import VersionedTable, publish, read_version, write_version
 from trendmill.streaming.feed import Feed, feed_silver, start_feed, stream_bronze
 
 try:
@@ -221,10 +223,8 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The violating rows of every not-null and value check, with the name of the check."""
-    bronze = _bronze(spark, sf_dir)
-    declared = [e for e in checks.bronze_expectations() if e.bad is not None]
-    found = [violations(bronze, e).select(F.lit(e.name).alias("expectation"), "video_id", "region", "ingested_at") for e in declared]
-    return reduce(DataFrame.unionByName, found)
+    found = all_violations(_bronze(spark, sf_dir), checks.bronze_expectations())
+    return found.select("expectation", "video_id", "region", "ingested_at")
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,6 +356,33 @@ def incremental_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.read.parquet(lake.path("marts", "fct_momentum_videos")))
 
 
+def _followed_lake(spark: SparkSession, sf_dir: str) -> daily.Lake:
+    """A lake that was built from a feed without some records of three days, and then followed it when they came, some corrected."""
+    root = scratch_path(configure(spark), "followed")
+    bronze = stage(_bronze(spark, sf_dir), "bronze")
+    day = F.substring("ingested_at", 1, 10)
+    late_days = [row[0] for row in bronze.groupBy(day.alias("day")).count().orderBy(F.desc("count"), "day").limit(3).collect()]
+    late = day.isin(late_days) & (F.col("comment_count") % 3 == 0)
+    wrong = day.isin(late_days) & (F.col("comment_count") % 7 == 1)  # came early in the day, with no views; corrected later
+    early = bronze.filter(~late).withColumns(
+        {
+            "view_count": F.when(wrong, 0).otherwise(F.col("view_count")).cast("bigint"),
+            "ingested_at": F.when(wrong, F.concat(day, F.lit("T00:00:00.000000Z"))).otherwise(F.col("ingested_at")),
+        }
+    )
+    feed, lake = Feed(f"{root}/feed"), daily.Lake(f"{root}/lake")
+    for part in (early, bronze.filter(late | wrong)):
+        raw.land(part, f"{root}/landing/2024/01/01/00")
+        start_feed(stream_bronze(spark, raw.landing_glob(f"{root}/landing/2024")), feed).awaitTermination()
+        daily.run_feed(spark, feed, lake)
+    return lake
+
+
+def feed_gold_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Growth in a lake that took up late and corrected records."""
+    return comparable(daily.read_gold(spark, _followed_lake(spark, sf_dir))["view_velocity"])
+
+
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category statistics written, registered twice and read by name."""
     path, name = scratch_path(configure(spark), "catalog"), "trendmill_check.category_stats"
@@ -367,6 +394,59 @@ def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_catalog(spark, name))
 
 
+def _other_place(table: str) -> str:
+    """A name of the catalog for one run, so that runs side by side do not meet."""
+    return f"trendmill_check.{table}_{uuid.uuid4().hex}"
+
+
+def catalog_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category statistics under one name, first with fewer, other and further columns, then as they are, at another place."""
+    root, name = scratch_path(configure(spark), "evolution"), _other_place("evolving")
+    stats = stage(gold.category_stats(_snaps(spark, sf_dir)), "stats")
+    first = stats.select("category_id", F.col("video_count").cast("int"), F.lit("old").alias("obsolete"), *GOLD_PARTITIONS)
+    write_table(first, f"{root}/first", GOLD_PARTITIONS)
+    register_table(spark, name, f"{root}/first", first.schema, GOLD_PARTITIONS)
+    read_catalog(spark, name).count()  # what a reader sees now must not stay
+    write_table(stats, f"{root}/second", GOLD_PARTITIONS)
+    register_table(spark, name, f"{root}/second", GOLD["category_stats"], GOLD_PARTITIONS)
+    return comparable(read_catalog(spark, name))
+
+
+def _published(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, DataFrame]:
+    """Category statistics in two versions, the first without a region."""
+    table = VersionedTable(_other_place("versioned"), scratch_path(configure(spark), "versions"), GOLD["category_stats"], tuple(GOLD_PARTITIONS))
+    stats = stage(gold.category_stats(_snaps(spark, sf_dir)), "stats")
+    for df in (stats.filter("region <> 'US'"), stats):
+        publish(spark, table, write_version(df, table)[0])
+    return table, stats
+
+
+def _as_of(seen: str, df: DataFrame) -> DataFrame:
+    wanted = df.select(F.lit(seen).alias("seen"), "category_id", *GOLD_PARTITIONS, "video_count", "total_views", "top_video_id")
+    return comparable(wanted)
+
+
+def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions as they were, and what the catalog shows after the first was published again."""
+    table, _ = _published(spark, sf_dir)
+    publish(spark, table, 1)
+    found = [_as_of("one", read_version(spark, table, 1)), _as_of("two", read_version(spark, table, 2)), _as_of("catalog", spark.table(table.name))]
+    return reduce(DataFrame.unionByName, found)
+
+
+def crash_between_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after a third build has failed half-way: both versions, and the second in the catalog."""
+    table, stats = _published(spark, sf_dir)
+    fails = F.when(F.col("region") == "IN", F.raise_error(F.lit("half-way")).cast("string")).otherwise(F.col("top_video_id"))
+    try:
+        write_version(stats.withColumn("top_video_id", fails), table)
+    except Exception as error:
+        if "half-way" not in str(error):
+            raise
+    found = [_as_of("one", read_version(spark, table, 1)), _as_of("two", read_version(spark, table, 2)), _as_of("catalog", spark.table(table.name))]
+    return reduce(DataFrame.unionByName, found)
+
+
 def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the writers of the gold tables counted, and the rows found in the tables."""
     root = scratch_path(configure(spark), "counts")
@@ -383,9 +463,8 @@ def report_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leaderboard with the position of each row in report order."""
     best = gold.daily_trending_rank(_snaps(spark, sf_dir), top=marts.LEADERBOARD_SIZE)
     board = marts.fct_trending_leaderboard(staging.stg_daily_trending_rank(best))
-    ordered = stage(marts.in_report_order(board, "fct_trending_leaderboard").coalesce(1), "report")
-    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("bigint")
-    return comparable(ordered.select(place.alias("position"), "region", SNAPSHOT, "trending_rank", "video_id"))
+    placed = numbered(board, [F.asc(column) for column in marts.REPORT_ORDER["fct_trending_leaderboard"]], "position")
+    return comparable(placed.select("position", "region", SNAPSHOT, "trending_rank", "video_id"))
 
 
 def ingest_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,9 +473,7 @@ def ingest_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the trending leaderboard, from raw records to report, in report order."""
-    return fct_trending_leaderboard(spark, "/root/testdata/sf0.001").orderBy(
-        *marts.REPORT_ORDER["fct_trending_leaderboard"]
-    )
+    return marts.in_report_order(fct_trending_leaderboard(spark, "/root/testdata/sf0.001"), "fct_trending_leaderboard")
 
 
 def queries() -> dict[str, Query]:
@@ -411,7 +488,8 @@ def queries() -> dict[str, Query]:
         dq_value_histogram, dq_row_counts, partitioned_roundtrip, json_lines_roundtrip,
         incremental_silver, incremental_latest_only, incremental_marts, latest_with_ties,
         gold_after_late_day, ranks_after_late_day, dq_report, catalog_roundtrip, observed_counts,
-        report_order, ingest_total,
+        report_order, ingest_total, catalog_evolution, table_versions, crash_between_versions,
+        feed_gold_changes,
     ]
     named = {query.__name__: query for query in registered}
     named |= {name: _staging_query(name) for name in staging.STAGING}

@@ -288,6 +288,11 @@ FROM (
   FROM bronze GROUP BY region)"""
 
 
+def _seen(name: str, region: str = "") -> str:
+    where = f" WHERE region <> '{region}'" if region else ""
+    return f"SELECT '{name}' AS seen, category_id, region, {DAY}, video_count, total_views, top_video_id FROM category_stats{where}"
+
+
 TIED = """
 SELECT video_id, region, CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_date, title, description, view_count, like_count, comment_count
 FROM (SELECT *, row_number() OVER (PARTITION BY video_id, region, CAST(ts AS DATE) ORDER BY channel_id DESC NULLS LAST,
@@ -469,8 +474,12 @@ SELECT 'events' AS bronze_path, totals.*, CAST(list_position(""" + str([row[0] f
         "latest_with_ties": raw(TIED),
         "gold_after_late_day": layers(VELOCITY),
         "ranks_after_late_day": layers(RANKED),
+        "feed_gold_changes": layers(VELOCITY),
         "incremental_marts": momentum,
         "catalog_roundtrip": layers(rounded("category_stats", "avg_engagement_rate")),
+        "catalog_evolution": layers(rounded("category_stats", "avg_engagement_rate")),
+        "table_versions": layers(f"{_seen('one', 'US')} UNION ALL {_seen('two')} UNION ALL {_seen('catalog', 'US')}"),
+        "crash_between_versions": layers(f"{_seen('one', 'US')} UNION ALL {_seen('two')} UNION ALL {_seen('catalog')}"),
         "observed_counts": layers(
             " UNION ALL ".join(
                 f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) AS written_rows FROM {source}"

@@ -137,6 +137,13 @@ def violations(df: DataFrame, expectation: Expectation) -> DataFrame:
     return df.filter(expectation.bad)
 
 
+def all_violations(df: DataFrame, expectations: list[Expectation], name: str = "expectation") -> DataFrame:
+    """The violating rows of all not-null and value checks, once for each check, with its name; one read of ``df``."""
+    declared = [e for e in expectations if e.bad is not None]
+    failed = F.array_compact(F.array(*[F.when(e.bad, F.lit(e.name)) for e in declared]))
+    return df.withColumn(name, F.explode(failed))
+
+
 def duplicate_keys(df: DataFrame, key: Column, name: str = "key") -> DataFrame:
     """WN7: keys that occur more than once, with their row counts."""
     counts = df.groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias("rows"))

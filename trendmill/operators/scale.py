@@ -86,3 +86,20 @@ def total_before(
         .withColumn(name, F.col(name) + F.col("_offset"))
         .drop(_GROUP, _CELL, "_offset")
     )
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with the place of each row, from 1, in a total order.
+
+    Rows are range-partitioned and sorted, and stored with their place in their task; a task's rows go
+    on where those of the tasks before end. So only a count for each task meets in one place.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    in_order = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    placed = stage(in_order.withColumn("_at", F.monotonically_increasing_id()), "placed")
+    placed = placed.withColumn(_CELL, F.shiftrightunsigned("_at", 33))  # the upper bits are the task's number
+    counts = placed.groupBy(_CELL).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(F.lit(0)).orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1
+    shifts = counts.select(_CELL, shift.alias("_shift"))
+    return placed.join(shifts, _CELL).withColumn(name, F.col("_at") + F.col("_shift")).drop("_at", "_shift", _CELL)

@@ -9,14 +9,16 @@ from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trendmill.functions.parsing import to_timestamp
-from trendmill.operators.scale import MAX_GROUP_ROWS, largest_group
+from trendmill.operators.filters import partition_safe
+from trendmill.operators.scale import MAX_GROUP_ROWS, group_key, largest_group
 from trendmill.operators.tabletests import require_rows, run_table_tests
 from trendmill.plans import checks, gold, marts, staging
 from trendmill.plans.silver import ENTITY, SNAPSHOT, silver_videos
 from trendmill.schemas import GOLD, GOLD_PARTITIONS, MART_PARTITIONS, SILVER, SILVER_PARTITIONS
-from trendmill.session import configure, discarding_staged, exists, stage
+from trendmill.session import configure, discarding_staged, exists, remove, stage
 from trendmill.sources.bronze import read_bronze, require_input
 from trendmill.sources.tables import (
     DEFAULT_FORMAT,
@@ -27,21 +29,67 @@ from trendmill.sources.tables import (
     replace_partitions,
     write_table,
 )
-from trendmill.streaming.feed import Feed, feed_silver
+from trendmill.sources.versions import VersionedTable, publish_all, published_path
+from trendmill.streaming.feed import Feed, change_lists, feed_silver, read_changes
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the layers live. Databases are named only if the tables are to be registered."""
+    """Where the layers live. Databases are named only if the tables are to be registered.
+
+    ``versioned`` tables are published version by version (see ``sources.versions``): the tables of a
+    layer are all written before any is shown, and nothing that is read is ever written over. Such a
+    lake needs a database and is built whole.
+    """
 
     root: str
     database: str | None = None
     mart_database: str | None = None
     fmt: str = DEFAULT_FORMAT
+    versioned: bool = False
+
+    def __post_init__(self) -> None:
+        if self.versioned and (self.database is None or self.fmt != DEFAULT_FORMAT):
+            raise ValueError(f"versioned tables need a database and {DEFAULT_FORMAT}")
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def name(self, layer: str, table: str) -> str:
+        """The table's name in the catalog."""
+        if layer == "marts":
+            return f"{database_for(self.mart_database, self.database)}.{table}"
+        return f"{self.database}.{layer}_{table}"
+
+    def versions(self, layer: str, table: str, schema: str = "", partition_by: list[str] = (), sort_by: list[str] = ()) -> VersionedTable:
+        return VersionedTable(self.name(layer, table), self.path(layer, table), schema, tuple(partition_by), tuple(sort_by))
+
+
+def read_layer(spark: SparkSession, lake: Lake, layer: str, table: str, schema: str | StructType) -> DataFrame:
+    """A table of the lake; of a versioned lake the version that is published."""
+    path = lake.path(layer, table)
+    if lake.versioned:
+        path = published_path(spark, lake.versions(layer, table))
+    return read_table(spark, path, schema, lake.fmt)
+
+
+def store_layer(
+    lake: Lake, layer: str, tables: dict[str, DataFrame], schemas: dict[str, str], partition_by: list[str], order: dict[str, list[str]]
+) -> dict[str, int]:
+    """Write whole tables of a layer, and register them if the lake has a database; rows per table."""
+    if lake.versioned:
+        builds = [(df, lake.versions(layer, name, schemas[name], partition_by, order.get(name, []))) for name, df in tables.items()]
+        spark = builds[0][0].sparkSession
+        counts = publish_all(spark, builds)
+        return {name: counts[lake.name(layer, name)] for name in tables}
+    rows = {}
+    for name, df in tables.items():
+        path = lake.path(layer, name)
+        rows[name] = write_table(df, path, partition_by, order.get(name), lake.fmt)
+        if lake.database:
+            register_table(df.sparkSession, lake.name(layer, name), path, schemas[name], partition_by, lake.fmt)
+    return rows
+
 
 @dataclass
 class Run:
@@ -80,6 +128,8 @@ def build_silver(bronze: DataFrame, lake: Lake, grain: str = "day", day: str | N
     """
     require_input(bronze, "silver")
     if day is not None:
+        if lake.versioned:
+            raise ValueError("a day can be replaced in tables without versions only")
         if lake.fmt != DEFAULT_FORMAT:
             raise ValueError(f"a day can be replaced in {DEFAULT_FORMAT} tables only")
         if grain != "day":
@@ -92,7 +142,7 @@ def write_silver(silver: DataFrame, lake: Lake, day: str | None = None) -> int:
     """Store silver rows, all or those of a day."""
     spark, path = silver.sparkSession, lake.path("silver", "videos")
     if day is None or not exists(spark, path):
-        rows = write_table(silver, path, SILVER_PARTITIONS, ["ingested_at"], lake.fmt)
+        return store_layer(lake, "silver", {"videos": silver}, {"videos": SILVER}, SILVER_PARTITIONS, {"videos": ["ingested_at"]})["videos"]
     else:
         old = read_table(spark, path, SILVER, lake.fmt)
         # Bounds on the stored time itself are pushed down to the files, which are sorted by it.
@@ -106,7 +156,7 @@ def write_silver(silver: DataFrame, lake: Lake, day: str | None = None) -> int:
         merged = stage(others.unionByName(fresh), "silver")
         rows = replace_partitions(merged, path, SILVER_PARTITIONS, touched, ["ingested_at"])
     if lake.database:
-        register_table(spark, f"{lake.database}.silver_videos", path, SILVER, SILVER_PARTITIONS, lake.fmt)
+        register_table(spark, lake.name("silver", "videos"), path, SILVER, SILVER_PARTITIONS, lake.fmt)
     return rows
 
 
@@ -138,34 +188,40 @@ def build_gold(
     With ``day`` that day's partitions are replaced, and removed where the day has no more rows.
     Growth is also renewed on the days that hold the next snapshot of a video that is, or was, in it.
     """
-    silver = read_table(spark, lake.path("silver", "videos"), SILVER, lake.fmt)
+    silver = read_layer(spark, lake, "silver", "videos", SILVER)
     require_input(silver, "gold")
     history = gold.snapshots(silver)
     snaps = gold.snapshots(silver, day)
     tables = gold_tables(snaps, largest_group(snaps, gold.DAY), max_group_rows)
+    if day is None:
+        return store_layer(lake, "gold", tables, GOLD, GOLD_PARTITIONS, GOLD_ORDER)
     renewed = {name: [day] for name in tables}
-    if day is not None:
-        before = read_table(spark, lake.path("gold", "view_velocity"), GOLD["view_velocity"], lake.fmt)
-        keys = gold.on_date(before, SNAPSHOT, day).select(*ENTITY).union(snaps.select(*ENTITY))
-        renewed["view_velocity"] = [day, *days_after(history, keys, day)]
-        tables["view_velocity"] = gold.velocity_of_days(history, renewed["view_velocity"])
+    before = read_layer(spark, lake, "gold", "view_velocity", GOLD["view_velocity"])
+    keys = gold.on_date(before, SNAPSHOT, day).select(*ENTITY).union(snaps.select(*ENTITY))
+    renewed["view_velocity"] = [day, *days_after(history, keys, day)]
+    tables["view_velocity"] = gold.velocity_of_days(history, renewed["view_velocity"])
     rows = {}
     for name, df in tables.items():
-        path = lake.path("gold", name)
-        order = ["trending_rank"] if name == "daily_trending_rank" else None
-        if day is None:
-            rows[name] = write_table(df, path, GOLD_PARTITIONS, order, lake.fmt)
-        else:
-            old = read_table(spark, path, GOLD[name], lake.fmt).filter(gold.is_on(renewed[name]))
-            touched = [row.asDict() for row in old.select(*GOLD_PARTITIONS).distinct().collect()]
-            rows[name] = replace_partitions(stage(df, name), path, GOLD_PARTITIONS, touched, order)
-        if lake.database:
-            register_table(spark, f"{lake.database}.gold_{name}", path, GOLD[name], GOLD_PARTITIONS, lake.fmt)
+        old = read_layer(spark, lake, "gold", name, GOLD[name]).filter(gold.is_on(renewed[name]))
+        rows[name] = replace_gold(spark, lake, name, df, old.select(*GOLD_PARTITIONS))
+    return rows
+
+
+GOLD_ORDER = {"daily_trending_rank": ["trending_rank"]}
+
+
+def replace_gold(spark: SparkSession, lake: Lake, name: str, df: DataFrame, partitions: DataFrame) -> int:
+    """Write ``df`` over its partitions of a gold table and remove those of ``partitions`` (regions times days) that it has no row of."""
+    path = lake.path("gold", name)
+    touched = [row.asDict() for row in partitions.distinct().collect()]
+    rows = replace_partitions(stage(df, name), path, GOLD_PARTITIONS, touched, GOLD_ORDER.get(name))
+    if lake.database:
+        register_table(spark, lake.name("gold", name), path, GOLD[name], GOLD_PARTITIONS, lake.fmt)
     return rows
 
 
 def read_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    return {name: read_table(spark, lake.path("gold", name), schema, lake.fmt) for name, schema in GOLD.items()}
+    return {name: read_layer(spark, lake, "gold", name, schema) for name, schema in GOLD.items()}
 
 
 def staging_views(gold_layer: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -196,15 +252,11 @@ def build_marts(spark: SparkSession, lake: Lake, max_group_rows: int = MAX_GROUP
     layer = read_gold(spark, lake)
     stg = staging_views(layer)
     bound = largest_group(layer["daily_trending_rank"], gold.DAY)
-    built = {}
-    for name, df in mart_tables(stg, bound, max_group_rows).items():
-        path = lake.path("marts", name)
-        order = [column for column in marts.REPORT_ORDER[name] if column not in MART_PARTITIONS]
-        run.rows[name] = write_table(df, path, MART_PARTITIONS, order, lake.fmt)
-        built[name] = read_table(spark, path, df.schema, lake.fmt)
-        if lake.database:
-            database = database_for(lake.mart_database, lake.database)
-            register_table(spark, f"{database}.{name}", path, df.schema, MART_PARTITIONS, lake.fmt)
+    tables = mart_tables(stg, bound, max_group_rows)
+    schemas = {name: df.schema for name, df in tables.items()}
+    order = {name: [c for c in marts.REPORT_ORDER[name] if c not in MART_PARTITIONS] for name in tables}
+    run.rows = store_layer(lake, "marts", tables, schemas, MART_PARTITIONS, order)
+    built = {name: read_layer(spark, lake, "marts", name, schema) for name, schema in schemas.items()}
     tests = run_table_tests(layer | stg | built, checks.NOT_NULL, checks.ACCEPTED)
     failed = tests.filter("should_error").collect()
     run.failed_tests = [f"{row.test}_{row.table_name}_{row.column_name}" for row in failed]
@@ -212,15 +264,112 @@ def build_marts(spark: SparkSession, lake: Lake, max_group_rows: int = MAX_GROUP
     return run
 
 
+APPLIED = "name STRING"
+
+
+def _applied_path(lake: Lake, grain: str) -> str:
+    return lake.path("applied", f"feed-{grain}")
+
+
+def _mark_applied(spark: SparkSession, lake: Lake, grain: str, names: list[str], mode: str) -> None:
+    spark.createDataFrame([(name,) for name in names], APPLIED).coalesce(1).write.mode(mode).json(_applied_path(lake, grain))
+
+
+def pending_changes(spark: SparkSession, feed: Feed, lake: Lake, grain: str = "day") -> list[str] | None:
+    """The lists of changes that the lake has not taken up; None if it was not built from the feed with that grain."""
+    path = _applied_path(lake, grain)
+    if not exists(spark, f"{path}/_SUCCESS"):
+        return None
+    done = {row.name for row in spark.read.schema(APPLIED).json(path).collect()}  # one for each batch
+    return [name for name in change_lists(spark, feed) if name not in done]
+
+
+def _only(df: DataFrame, keys: DataFrame, columns: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose values of ``columns`` are (not) in ``keys``; NULL matches NULL."""
+    wanted = keys.select(group_key(columns).alias("_key")).distinct()
+    return df.withColumn("_key", group_key(columns)).join(wanted, "_key", how).drop("_key")
+
+
+def _silver_partitions(changes: DataFrame) -> list[dict]:
+    """The partitions that hold, or held, a changed record: regions times months."""
+    times = F.explode(F.array(to_timestamp(F.col("published_at")), to_timestamp(F.col("old_published_at")))).alias("published")
+    found = changes.select("region", times).select("region", F.year("published").alias("published_year"), F.month("published").alias("published_month"))
+    return [row.asDict() for row in partition_safe(found, SILVER_PARTITIONS).distinct().collect()]
+
+
+def apply_to_silver(spark: SparkSession, feed: Feed, lake: Lake, changes: DataFrame, days: list) -> int:
+    """Write the partitions again that changed records are, or were, in; other rows of these are kept as they are."""
+    path, touched = lake.path("silver", "videos"), _silver_partitions(changes)
+    if not touched:
+        return 0
+    near = reduce(or_, [reduce(and_, [F.col(c) == v for c, v in values.items()]) for values in touched])
+    old = gold.snapshots(read_table(spark, path, SILVER, lake.fmt).filter(near))
+    new = _only(gold.snapshots(feed_silver(spark, feed, days=days)), changes, [*ENTITY, SNAPSHOT])
+    merged = _only(old, changes, [*ENTITY, SNAPSHOT], "left_anti").unionByName(new).drop(SNAPSHOT)
+    rows = replace_partitions(stage(merged, "silver"), path, SILVER_PARTITIONS, touched, ["ingested_at"])
+    if lake.database:
+        register_table(spark, lake.name("silver", "videos"), path, SILVER, SILVER_PARTITIONS, lake.fmt)
+    return rows
+
+
+def following_days(history: DataFrame, changes: DataFrame) -> DataFrame:
+    """region and day of the next snapshot of each changed video; a record without a day comes before all others."""
+    first = F.lit("0001-01-01").cast("date")
+    changed = changes.select(*ENTITY, F.coalesce(SNAPSHOT, first).alias("_changed")).distinct()
+    later = history.select(*ENTITY, SNAPSHOT).join(changed, ENTITY).filter(F.col(SNAPSHOT) > F.col("_changed"))
+    return later.groupBy(*ENTITY, "_changed").agg(F.min(SNAPSHOT).alias(SNAPSHOT)).select(*GOLD_PARTITIONS)
+
+
+def apply_to_gold(
+    spark: SparkSession, feed: Feed, lake: Lake, changes: DataFrame, days: list, max_group_rows: int = MAX_GROUP_ROWS
+) -> dict[str, int]:
+    """TB2-TB5: write the regions and days again that have a changed record, and no others.
+
+    The rows come from the state of the feed, which is partitioned by day, so other days are not
+    read. Growth is also renewed where the next snapshot of a changed video is; for that the keys of
+    the whole history are read, and the series of the videos that are on these days.
+    """
+    pairs = stage(changes.filter("region <> ''").select(*GOLD_PARTITIONS).distinct(), "pairs")
+    snaps = stage(_only(gold.snapshots(feed_silver(spark, feed, days=days)), pairs, GOLD_PARTITIONS), "snaps")
+    tables = gold_tables(snaps, largest_group(snaps, gold.DAY), max_group_rows)
+    history = gold.snapshots(feed_silver(spark, feed))
+    renewed = stage(pairs.unionByName(following_days(history, changes)).distinct(), "renewed")
+    videos = _only(history.select(*ENTITY, SNAPSHOT), renewed, GOLD_PARTITIONS)
+    series = _only(history.select(*gold.VELOCITY_COLUMNS), videos, ENTITY)
+    tables["view_velocity"] = _only(gold.view_velocity(series), renewed, GOLD_PARTITIONS)
+    return {name: replace_gold(spark, lake, name, df, renewed if name == "view_velocity" else pairs) for name, df in tables.items()}
+
+
 def run_feed(
     spark: SparkSession, feed: Feed, lake: Lake, grain: str = "day", max_group_rows: int = MAX_GROUP_ROWS
 ) -> Run:
-    """ST1 to the marts: silver from the state of the feed, then gold and marts as in the daily run."""
+    """ST1 to the marts: silver and gold from the state of the feed, then marts as in the daily run.
+
+    The first run builds all. Later ones take up the changes that the feed's batches have listed: only
+    silver partitions, and regions and days of gold, with a changed record are written again. They are
+    marked as taken up at the end, so that a run that fails is repeated by the next one. A lake with
+    versions, or with one row per video, is built whole each time.
+    """
     configure(spark)
     with discarding_staged(spark):
-        rows = {"silver_videos": write_silver(feed_silver(spark, feed, grain), lake)}
-        rows |= build_gold(spark, lake, None, max_group_rows)
+        whole = grain != "day" or lake.versioned or lake.fmt != DEFAULT_FORMAT
+        names = None if whole else pending_changes(spark, feed, lake, grain)
+        if names is None:
+            names = change_lists(spark, feed)  # before the state is read
+            remove(spark, lake.path("applied", ""))
+            rows = {"silver_videos": write_silver(feed_silver(spark, feed, grain), lake)}
+            rows |= build_gold(spark, lake, None, max_group_rows)
+            mode = "overwrite"
+        else:
+            rows, mode = {}, "append"
+            changes = stage(read_changes(spark, feed, names), "changes") if names else None
+            if changes is not None and not changes.isEmpty():
+                days = [row[0] for row in changes.select(SNAPSHOT).distinct().collect()]
+                rows = {"silver_videos": apply_to_silver(spark, feed, lake, changes, days)}
+                rows |= apply_to_gold(spark, feed, lake, changes, days, max_group_rows)
         run = build_marts(spark, lake, max_group_rows)
+        if not whole and (names or mode == "overwrite"):
+            _mark_applied(spark, lake, grain, names, mode)
     return Run(rows | run.rows, [], run.failed_tests)
 
 

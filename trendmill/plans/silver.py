@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendmill.functions.measures import array_size, safe_ratio
@@ -18,14 +18,14 @@ SNAPSHOT = "snapshot_date"
 GRAINS = {"latest": ENTITY, "day": [*ENTITY, SNAPSHOT]}
 
 
-def newest(records: DataFrame, grain: str) -> DataFrame:
+def newest(records: DataFrame, grain: str, *then: Column) -> DataFrame:
     """The latest record per key. Equal times are decided by the other columns in their order.
 
-    So only records that are equal throughout tie, and the choice neither depends on the order of
-    arrival nor on the steps in which it is made.
+    So only records that are equal throughout tie (``then`` decides between these), and the choice
+    neither depends on the order of arrival nor on the steps in which it is made.
     """
     rest = [F.desc(name) for name in BRONZE_COLUMNS if name != "ingested_at"]
-    return latest_per_key(records, GRAINS[grain], [F.desc("ingested_at"), *rest])
+    return latest_per_key(records, GRAINS[grain], [F.desc("ingested_at"), *rest, *then])
 
 
 def latest_records(bronze: DataFrame, grain: str = "day") -> DataFrame:

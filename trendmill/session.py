@@ -68,6 +68,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, in order; none if there is no such folder."""
+    if not exists(spark, path):
+        return []
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
+    return sorted(status.getPath().getName() for status in listed)
+
+
 def discard(staged: DataFrame) -> None:
     """Delete what ``stage`` stored; neither the frame nor what was built on it may be used after that."""
     for path in {os.path.dirname(name) for name in staged.inputFiles()}:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trendmill.session import remove
+from trendmill.sources import catalog
 
 DEFAULT_FORMAT = "parquet"
 
@@ -36,6 +37,7 @@ def write_table(
     sort_by: list[str] | None = None,
     fmt: str = DEFAULT_FORMAT,
     dynamic: bool = False,
+    mode: str = "overwrite",
 ) -> int:
     """SK1-3, SK8, SO1: overwrite a partitioned table and return the rows written.
 
@@ -43,12 +45,13 @@ def write_table(
     split a partition that is too large for one task and merge small ones. ``sort_by`` orders the
     rows within each file. The count is observed on the tasks that write, without a second scan.
     ``dynamic`` replaces the partitions present in ``df`` only; else the whole table and its schema.
+    With ``mode`` "error" a table that is there already is left as it is, and the write fails.
     """
     counted = Observation()
     laid_out = df.hint("rebalance", *partition_by).observe(counted, F.count(F.lit(1)).alias("rows"))
     if sort_by:
         laid_out = laid_out.sortWithinPartitions(*partition_by, *sort_by)
-    writer = laid_out.write.format(fmt).mode("overwrite")
+    writer = laid_out.write.format(fmt).mode(mode)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     else:
@@ -74,22 +77,15 @@ def register_table(
 ) -> None:
     """SK7: make the files at ``path`` known as an external table of the declared schema.
 
-    An existing entry stays, with its grants and properties; only partitions that are new or gone
-    are entered or removed, by the names of their folders.
+    An existing entry is brought to that schema, partitioning and location, and keeps its properties;
+    where nothing has changed, only partitions that are new or gone are entered or removed.
     """
-    if "." in name:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0]}")
     if fmt != DEFAULT_FORMAT:
+        if "." in name:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0]}")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
         return
-    schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
-    partitions = ", ".join(f"`{column}`" for column in partition_by)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} PARTITIONED BY ({partitions}) LOCATION '{path}'"
-    )
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
-    spark.catalog.refreshTable(name)
+    catalog.bring(spark, catalog.declared(spark, name, path, schema, partition_by, fmt))
 
 
 def register_view(df: DataFrame, name: str) -> None:
@@ -99,8 +95,9 @@ def register_view(df: DataFrame, name: str) -> None:
 
 def register_catalog_view(spark: SparkSession, name: str, query: str) -> None:
     """SK4: a view that the catalog keeps, over tables that it knows; it outlives the session."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0]}")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {catalog.full_name(name.rpartition('.')[0])}")
+    spark.sql(f"CREATE OR REPLACE VIEW {catalog.full_name(name)} AS {query}")
 
 
 def drop_partitions(spark: SparkSession, path: str, partitions: list[dict]) -> None:

@@ -9,6 +9,9 @@ A batch is merged into its days in two steps. The merged rows are first written
 complete, then they replace the days. A batch that is run again after a crash finds the mark and only
 repeats the second step, so no crash can lose the rows being replaced. A mark names the stream as well
 as the batch: with a new checkpoint the numbers start again, but the stream has another id.
+
+Each batch also leaves the list of keys whose current record has changed, for the tables built on the
+state: with it they follow without reading what has not changed.
 """
 
 from __future__ import annotations
@@ -22,8 +25,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from trendmill.operators.filters import partition_safe
-from trendmill.plans.silver import SNAPSHOT, latest_records, newest, typed
+from trendmill.operators.scale import group_key
+from trendmill.plans.silver import ENTITY, SNAPSHOT, latest_records, newest, typed
 from trendmill.schemas import BRONZE, BRONZE_COLUMNS, SILVER_PARTITIONS
+from trendmill.session import children, exists
 
 
 @dataclass(frozen=True)
@@ -40,6 +45,10 @@ class Feed:
     def merged(self) -> str:
         return f"{self.root}/merged"
 
+    @property
+    def changes(self) -> str:
+        return f"{self.root}/changes"
+
     @property
     def marks(self) -> str:
         return f"{self.root}/marks"
@@ -95,6 +104,31 @@ def _replace_days(df: DataFrame, path: str, mode: str) -> None:
     )
 
 
+KEY = [*ENTITY, SNAPSHOT]
+FRESH = "_fresh"
+CHANGES = f"video_id STRING, region STRING, {SNAPSHOT} DATE, published_at STRING, old_published_at STRING"
+
+
+def change_name(stream: str, batch_id: int) -> str:
+    return f"{stream or 'none'}-{batch_id:010d}"
+
+
+def _changes(won: DataFrame, current: DataFrame) -> DataFrame:
+    """Keys whose record is new or another one, with the publishing times of both, as text."""
+    before = current.select(*KEY, F.col("published_at").alias("old_published_at")).withColumn("_key", group_key(KEY)).drop(*KEY)
+    after = won.select(*KEY, "published_at").withColumn("_key", group_key(KEY))
+    return after.join(before, "_key", "left").drop("_key")
+
+
+def change_lists(spark: SparkSession, feed: Feed) -> list[str]:
+    """The names of the lists of changed keys that batches have left, also of one that is not done; its end repeats it."""
+    return [name for name in children(spark, feed.changes) if exists(spark, f"{feed.changes}/{name}/_SUCCESS")]
+
+
+def read_changes(spark: SparkSession, feed: Feed, names: list[str]) -> DataFrame:
+    return spark.read.schema(CHANGES).parquet(*[f"{feed.changes}/{name}" for name in names])
+
+
 def merge_batch(batch: DataFrame, batch_id: int, feed: Feed, stream: str = "") -> None:
     """Merge one batch of bronze records into the state. Running a batch of a stream twice changes nothing."""
     spark, schema = batch.sparkSession, _state_schema()
@@ -107,7 +141,10 @@ def merge_batch(batch: DataFrame, batch_id: int, feed: Feed, stream: str = "") -
             if None in days:
                 touched = touched | F.col(SNAPSHOT).isNull()
             current = spark.read.schema(schema).parquet(feed.state).filter(touched)
-            _replace_days(newest(current.unionByName(fresh), "day"), feed.merged, "static")
+            both = current.withColumn(FRESH, F.lit(0)).unionByName(fresh.withColumn(FRESH, F.lit(1)))
+            _replace_days(newest(both, "day", F.asc(FRESH)), feed.merged, "static")  # an equal record changes nothing
+            won = spark.read.schema(_state_schema().add(FRESH, "integer")).parquet(feed.merged).filter(F.col(FRESH) == 1)
+            _changes(won, current).write.mode("overwrite").parquet(f"{feed.changes}/{change_name(stream, batch_id)}")
             _mark(spark, feed, "last", stream, batch_id, "overwrite")
         finally:
             fresh.unpersist()
@@ -130,12 +167,16 @@ def start_feed(bronze: DataFrame, feed: Feed) -> StreamingQuery:
     )
 
 
-def feed_silver(spark: SparkSession, feed: Feed, grain: str = "day") -> DataFrame:
+def feed_silver(spark: SparkSession, feed: Feed, grain: str = "day", days: list | None = None) -> DataFrame:
     """The silver table as of the last batch; equals the batch build over all files so far.
 
-    The coarser grain is the latest of the daily records, found when it is read.
+    The coarser grain is the latest of the daily records, found when it is read. With ``days`` (None
+    among them: without a day) only these partitions of the state are read.
     """
     records = spark.read.schema(_state_schema()).parquet(feed.state)
+    if days is not None:
+        wanted = F.col(SNAPSHOT).isin([F.lit(day).cast("date") for day in days if day is not None])
+        records = records.filter(wanted | F.col(SNAPSHOT).isNull() if None in days else wanted)
     if grain != "day":
         records = newest(records, grain)
     return partition_safe(typed(records), SILVER_PARTITIONS)
