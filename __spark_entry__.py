@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import oracles
 from trendmill.functions.parsing import duration_seconds as seconds_of
 from trendmill.functions.parsing import to_timestamp
+from trendmill.functions.sql import register_functions
 from trendmill.operators.aggregates import distinct_values
 from trendmill.operators.aggregates import loss_accounting as losses
 from trendmill.operators.quality import SUMMARY, all_violations, duplicate_keys, summarize
@@ -21,9 +22,10 @@ from trendmill.operators.tabletests import row_counts, run_table_tests, value_hi
 from trendmill.plans import checks, daily, gold, marts, staging
 from trendmill.plans.silver import ENTITY, SNAPSHOT, latest_records
 from trendmill.plans.silver import silver_videos as build_silver
-from trendmill.schemas import GOLD, GOLD_PARTITIONS, SILVER, SILVER_PARTITIONS
+from trendmill.schemas import BRONZE_COLUMNS, GOLD, GOLD_PARTITIONS, SILVER, SILVER_PARTITIONS
 from trendmill.session import configure, scratch_path, stage
 from trendmill.sources import bronze as raw
+from trendmill.sources import quarantine
 from trendmill.sources.events import bronze_from_events, payloads_from_events, read_events
 from trendmill.sources.tables import read_catalog, read_table, register_table, write_table
 from trendmill.sources.versions import VersionedTable, publish, read_version, write_version
@@ -447,6 +449,50 @@ def crash_between_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def _landed_with_mistakes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records landed as lines in eight folders, some after a stray mark, some with a count in quotes; read again."""
+    path = scratch_path(configure(spark), "mistakes")
+    bronze = bronze_from_events(read_events(spark, sf_dir), "event_id")
+    line = F.to_json(F.struct(*BRONZE_COLUMNS))
+    line = F.when(F.col("event_id") % 37 == 0, F.concat(F.lit("### "), line)).otherwise(line)
+    quoted = F.regexp_replace(line, r'"view_count":(\d+)', '"view_count":"$1 views"')
+    line = F.when(F.col("event_id") % 41 == 0, quoted).otherwise(line)
+    bronze.select(line.alias("value"), (F.col("event_id") % 8).alias("part")).write.partitionBy("part").text(path)
+    return quarantine.read_lines(spark, path)
+
+
+def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines per landing folder: sound, no JSON, with a field of another type, and without a key."""
+    part = F.regexp_extract("file", r"part=(\d+)", 1).cast("bigint").alias("part")
+    return quarantine.line_counts(_landed_with_mistakes(spark, sf_dir), part)
+
+
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from the sound lines and those set aside and repaired."""
+    path = scratch_path(configure(spark), "quarantine")
+    lines = _landed_with_mistakes(spark, sf_dir)
+    quarantine.write_quarantine(lines, path)
+    mended = F.regexp_replace(F.regexp_replace("line", "^### ", ""), r'"view_count":"(\d+) views"', '"view_count":$1')
+    again = quarantine.replayed(quarantine.read_quarantine(spark, path), mended)
+    return comparable(build_silver(quarantine.records(lines).unionByName(quarantine.records(again))))
+
+
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Durations, ratios and typed text by SQL alone, with functions that the catalog keeps."""
+    database = "trendmill_functions"
+    register_functions(configure(spark), database)
+    view = f"bronze_{uuid.uuid4().hex}"
+    _bronze(spark, sf_dir).createOrReplaceTempView(view)
+    f = database
+    return spark.sql(f"""
+        SELECT video_id, region, ingested_at, CAST({f}.duration_seconds(duration) AS BIGINT) AS duration_seconds,
+               CAST({f}.text_to_int(category_id) AS BIGINT) AS category_id, CAST({f}.array_size_or_zero(tags) AS BIGINT) AS tags_count,
+               {f}.safe_ratio(like_count + comment_count, view_count) AS engagement_rate,
+               {f}.safe_ratio(like_count, view_count) AS like_to_view_ratio,
+               {f}.text_to_timestamp(published_at) IS NULL AS bad_time
+        FROM {view}""")
+
+
 def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the writers of the gold tables counted, and the rows found in the tables."""
     root = scratch_path(configure(spark), "counts")
@@ -489,7 +535,7 @@ def queries() -> dict[str, Query]:
         incremental_silver, incremental_latest_only, incremental_marts, latest_with_ties,
         gold_after_late_day, ranks_after_late_day, dq_report, catalog_roundtrip, observed_counts,
         report_order, ingest_total, catalog_evolution, table_versions, crash_between_versions,
-        feed_gold_changes,
+        feed_gold_changes, quarantine_counts, quarantine_replay, sql_functions,
     ]
     named = {query.__name__: query for query in registered}
     named |= {name: _staging_query(name) for name in staging.STAGING}

@@ -475,6 +475,19 @@ SELECT 'events' AS bronze_path, totals.*, CAST(list_position(""" + str([row[0] f
         "gold_after_late_day": layers(VELOCITY),
         "ranks_after_late_day": layers(RANKED),
         "feed_gold_changes": layers(VELOCITY),
+        "quarantine_counts": raw(
+            "SELECT event_id % 8 AS part, count(*) AS lines, count(*) FILTER (NOT unread AND NOT wrong AND NOT keyless) AS sound, "
+            "count(*) FILTER (unread) AS not_json, count(*) FILTER (wrong AND NOT unread) AS wrong_type, "
+            "count(*) FILTER (keyless AND NOT unread AND NOT wrong) AS no_key FROM (SELECT event_id, event_id % 37 = 0 AS unread, "
+            "event_id % 41 = 0 AS wrong, video_id IS NULL AS keyless FROM bronze) GROUP BY 1"
+        ),
+        "quarantine_replay": daily_silver,
+        "sql_functions": raw(
+            f"SELECT video_id, region, ingested_at, {DURATION} AS duration_seconds, try_cast(category_id AS BIGINT) AS category_id, "
+            "coalesce(n_tags, 0) AS tags_count, CASE WHEN view_count > 0 THEN CAST(like_count + comment_count AS DOUBLE) / view_count "
+            "ELSE 0.0 END AS engagement_rate, CASE WHEN view_count > 0 THEN CAST(like_count AS DOUBLE) / view_count ELSE 0.0 END "
+            "AS like_to_view_ratio, published_at = 'bad' AS bad_time FROM bronze"
+        ),
         "incremental_marts": momentum,
         "catalog_roundtrip": layers(rounded("category_stats", "avg_engagement_rate")),
         "catalog_evolution": layers(rounded("category_stats", "avg_engagement_rate")),
