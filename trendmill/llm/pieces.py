@@ -304,18 +304,20 @@ def _gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np
     return np.concatenate(parts)
 
 
-def encoded(docs: DataFrame, model: str = MODEL, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def encoded(
+    docs: DataFrame, model: str = MODEL, id_column: str = "doc_id", text_column: str = "text", slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """doc_id, token_ids, n_tokens and restored of each whole text.
 
     restored: whether decoding the ids gives the text back, with U+2581 read as a space. model: a
     SentencePiece BPE model file with byte fallback and identity normalisation, on the driver.
-    Null texts count as empty, which have no ids.
+    Null texts count as empty, which have no ids. Smaller slices take less memory and more time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load(model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(shared.value)
-        for batch in larger_slices(batches, "text", SLICE_BYTES):
+        for batch in larger_slices(batches, "text", slice_bytes):
             ids = coder.encode(batch["text"])
             plain = pc.replace_substring(pc.fill_null(batch["text"], ""), SPACE_SIGN, " ")
             same = pc.equal(coder.decode(ids), plain.cast(pa.string()))

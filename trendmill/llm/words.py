@@ -5,6 +5,7 @@ A word is a maximal run of bytes other than ASCII white space, ``[^\\x20\\x09-\\
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,6 +37,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def give_back() -> None:
+    """Return free memory of this worker to the system: workers live on, and what one stage leaves is missing in the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in slices of about ``limit`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
@@ -46,6 +55,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts[:-1], cuts[1:], strict=True):
             yield batch.slice(start, end - start)
+    give_back()
 
 
 def larger_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
