@@ -11,6 +11,7 @@ from trendmill.llm.words import read
 from trendmill.session import stage
 
 SHINGLE = 4  # words
+SLICE = 1 << 20  # bytes of text that are encoded at once, as workers have other stages' memory as well
 MAX_BITS = 4  # in which the fingerprints of near-duplicates may differ
 
 
@@ -37,7 +38,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token_ids, n_tokens and restored of each document."""
-    return pieces.encoded(docs)
+    return pieces.encoded(docs, slice_bytes=SLICE)
 
 
 STAGES = [
