@@ -22,13 +22,16 @@ from trendmill.operators.tabletests import row_counts, run_table_tests, value_hi
 from trendmill.plans import checks, daily, gold, marts, staging
 from trendmill.plans.silver import ENTITY, SNAPSHOT, latest_records
 from trendmill.plans.silver import silver_videos as build_silver
+from trendmill.plans.validation import CountStore, day_counts, results_with, store_counts
 from trendmill.schemas import BRONZE_COLUMNS, GOLD, GOLD_PARTITIONS, SILVER, SILVER_PARTITIONS
 from trendmill.session import configure, scratch_path, stage
 from trendmill.sources import bronze as raw
 from trendmill.sources import quarantine
+from trendmill.sources.buckets import Bucketed, buckets_for, read_bucketed, write_bucketed
 from trendmill.sources.events import bronze_from_events, payloads_from_events, read_events
 from trendmill.sources.tables import read_catalog, read_table, register_table, write_table
 from trendmill.sources.versions import VersionedTable, publish, read_version, write_version
+from trendmill.streaming.arrivals import arrival_counts, wait_for_arrivals
 from trendmill.streaming.feed import Feed, feed_silver, start_feed, stream_bronze
 
 try:
@@ -477,6 +480,36 @@ def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(build_silver(quarantine.records(lines).unionByName(quarantine.records(again))))
 
 
+def velocity_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Growth from a history stored by video and region, which needs no shuffle any more."""
+    table = Bucketed(_other_place("by_key"), scratch_path(configure(spark), "by_key"), tuple(ENTITY), (SNAPSHOT,))
+    snaps = stage(_snaps(spark, sf_dir), "snaps")
+    write_bucketed(snaps, table, max(8, buckets_for(snaps.count())))
+    return comparable(gold.view_velocity(read_bucketed(spark, table)))
+
+
+def dq_day_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdicts on all records, from the kept counts of the other days and those of a day that is replaced."""
+    store = CountStore(scratch_path(configure(spark), "counts"))
+    bronze = _bronze(spark, sf_dir)
+    late_day = bronze.agg(F.mode(F.substring("ingested_at", 1, 10))).first()[0]
+    of_day = F.coalesce(F.col("ingested_at").startswith(late_day), F.lit(False))
+    store_counts(day_counts(bronze.filter(~of_day | (F.col("comment_count") % 3 != 0))), store)
+    counts = stage(day_counts(bronze.filter(of_day)), "counts")
+    store_counts(counts, store, late_day)
+    return results_with(counts, store, late_day)
+
+
+def feed_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per region and hour that a waiting feed has taken up, and whether the hour is closed."""
+    landed = _landed(spark, sf_dir)
+    files = len(raw.read_bronze(spark, landed).inputFiles())
+    feed = Feed(scratch_path(spark, "feed"))
+    wait_for_arrivals(stream_bronze(spark, landed, math.ceil(files / 2)), feed, "1 seconds", quiet=2)
+    counts = arrival_counts(spark, feed, "2 hours")
+    return comparable(counts.select("region", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "records", "closed"))
+
+
 def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Durations, ratios and typed text by SQL alone, with functions that the catalog keeps."""
     database = "trendmill_functions"
@@ -536,6 +569,7 @@ def queries() -> dict[str, Query]:
         gold_after_late_day, ranks_after_late_day, dq_report, catalog_roundtrip, observed_counts,
         report_order, ingest_total, catalog_evolution, table_versions, crash_between_versions,
         feed_gold_changes, quarantine_counts, quarantine_replay, sql_functions,
+        velocity_in_buckets, dq_day_by_day, feed_arrivals,
     ]
     named = {query.__name__: query for query in registered}
     named |= {name: _staging_query(name) for name in staging.STAGING}

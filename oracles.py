@@ -482,6 +482,13 @@ SELECT 'events' AS bronze_path, totals.*, CAST(list_position(""" + str([row[0] f
             "event_id % 41 = 0 AS wrong, video_id IS NULL AS keyless FROM bronze) GROUP BY 1"
         ),
         "quarantine_replay": daily_silver,
+        "velocity_in_buckets": layers(VELOCITY),
+        "dq_day_by_day": _checks() + "SELECT * FROM results",
+        "feed_arrivals": raw(
+            "SELECT region, hour, records, coalesce(hour_start + INTERVAL 3 HOUR <= max(last_seen) OVER (), false) AS closed FROM ("
+            "SELECT region, strftime(ts, '%Y-%m-%d %H') AS hour, date_trunc('hour', ts) AS hour_start, count(*) AS records, "
+            "max(ts) AS last_seen FROM bronze GROUP BY ALL)"
+        ),
         "sql_functions": raw(
             f"SELECT video_id, region, ingested_at, {DURATION} AS duration_seconds, try_cast(category_id AS BIGINT) AS category_id, "
             "coalesce(n_tags, 0) AS tags_count, CASE WHEN view_count > 0 THEN CAST(like_count + comment_count AS DOUBLE) / view_count "

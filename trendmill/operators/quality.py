@@ -60,15 +60,8 @@ def expect_rows(name: str, at_least: int) -> Expectation:
 MAX_BITS = 62
 
 
-def validate(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
-    """DQ16: one row per expectation with its counts and verdict.
-
-    The input is read once. What is wrong with a row becomes a bit mask, and rows are counted by
-    uniqueness key and mask before the shuffle, so that key, mask and count are all that is sent; a
-    hot key costs one row per task and mask. The counts of the value checks are sums over masks,
-    those of uniqueness sums over keys. Of several uniqueness checks each has keys of its own.
-    """
-    uniques = [e for e in expectations if e.kind == UNIQUE]
+def _conditions(expectations: list[Expectation]) -> dict[tuple[str, str], Column]:
+    """What each bit of a mask stands for, in order."""
     bits: dict[tuple[str, str], Column] = {}
     for e in expectations:
         if e.kind in (NOT_NULL, VALUES):
@@ -77,21 +70,40 @@ def validate(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
             bits[e.name, "null"] = e.value.isNull()
     if len(bits) > MAX_BITS:
         raise ValueError(f"at most {MAX_BITS} conditions per run")
+    return bits
+
+
+def mask_counts(df: DataFrame, expectations: list[Expectation], *by: Column) -> DataFrame:
+    """Rows (n) per uniqueness check, its key, and mask of what is wrong, and per ``by``: all that verdicts need.
+
+    The counts of several sets of rows can be added up (:func:`added`), so those of earlier rows may be stored.
+    """
+    uniques = [e for e in expectations if e.kind == UNIQUE]
     mask = F.lit(0).cast("bigint")
-    for i, condition in enumerate(bits.values()):
+    for i, condition in enumerate(_conditions(expectations).values()):
         mask = mask + F.when(condition, F.lit(1 << i)).otherwise(F.lit(0))
 
     keys = [e.value for e in uniques] or [F.lit("")]
     masked = [mask, *[F.lit(0).cast("bigint")] * (len(keys) - 1)]  # a row's mask goes with its first key
     if len(keys) == 1:
-        keyed = df.select(F.lit(0).alias("check"), keys[0].alias("key"), mask.alias("mask"))
+        keyed = df.select(*by, F.lit(0).alias("check"), keys[0].cast("string").alias("key"), mask.alias("mask"))
     else:
         entries = [
             F.struct(F.lit(i).alias("check"), key.cast("string").alias("key"), m.alias("mask"))
             for i, (key, m) in enumerate(zip(keys, masked, strict=True))
         ]
-        keyed = df.select(F.inline(F.array(*entries)))
-    counted = keyed.groupBy("check", "key", "mask").agg(F.count(F.lit(1)).alias("n"))
+        keyed = df.select(*by, F.inline(F.array(*entries)))
+    return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def added(counts: DataFrame) -> DataFrame:
+    """The counts of all sets of rows together."""
+    return counts.groupBy("check", "key", "mask").agg(F.sum("n").alias("n"))
+
+
+def results_of(counted: DataFrame, expectations: list[Expectation]) -> DataFrame:
+    """One row per expectation, from counts that have each check, key and mask once."""
+    uniques = [e for e in expectations if e.kind == UNIQUE]
     # A key has few masks, so its counts meet in a short list, without a second read of the input.
     per_key = counted.groupBy("check", "key").agg(F.sum("n").alias("rows"), F.collect_list(F.struct("mask", "n")).alias("parts"))
     parts = per_key.select("check", "rows", F.posexplode("parts").alias("at", "part")).select("check", "rows", "at", "part.*")
@@ -102,7 +114,10 @@ def validate(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
     first = F.col("check") == 0
     totals = parts.agg(
         total(first, "n", "rows"),
-        *[total(first & (F.getbit("mask", F.lit(i)) == 1), "n", f"{part}_{name}") for i, (name, part) in enumerate(bits)],
+        *[
+            total(first & (F.getbit("mask", F.lit(i)) == 1), "n", f"{part}_{name}")
+            for i, (name, part) in enumerate(_conditions(expectations))
+        ],
         *[
             total((F.col("check") == i) & (F.col("at") == 0) & (F.col("rows") > 1), "rows", f"bad_{e.name}")
             for i, e in enumerate(uniques)
@@ -111,6 +126,17 @@ def validate(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
     return totals.select(F.inline(F.array(*map(_result, expectations))))
 
 
+def validate(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
+    """DQ16: one row per expectation with its counts and verdict.
+
+    The input is read once. What is wrong with a row becomes a bit mask, and rows are counted by
+    uniqueness key and mask before the shuffle, so that key, mask and count are all that is sent; a
+    hot key costs one row per task and mask. The counts of the value checks are sums over masks,
+    those of uniqueness sums over keys. Of several uniqueness checks each has keys of its own.
+    """
+    return results_of(mask_counts(df, expectations), expectations)
+
+
 def _result(e: Expectation) -> Column:
     rows, none = F.col("rows"), F.lit(0).cast("bigint")
     missing = F.col(f"`null_{e.name}`") if e.kind == VALUES else none

@@ -17,6 +17,7 @@ from trendmill.operators.scale import MAX_GROUP_ROWS, group_key, largest_group
 from trendmill.operators.tabletests import require_rows, run_table_tests
 from trendmill.plans import checks, gold, marts, staging
 from trendmill.plans.silver import ENTITY, SNAPSHOT, silver_videos
+from trendmill.plans.validation import CountStore, day_counts, results_with, store_counts
 from trendmill.schemas import GOLD, GOLD_PARTITIONS, MART_PARTITIONS, SILVER, SILVER_PARTITIONS
 from trendmill.session import configure, discarding_staged, exists, remove, stage
 from trendmill.sources.bronze import read_bronze, require_input
@@ -100,9 +101,11 @@ class Run:
     failed_tests: list[str] = field(default_factory=list)
 
 
-def validate_layer(bronze: DataFrame, bronze_path: str, lake: Lake, fail_on_error: bool = True) -> list[str]:
-    """TB14: validate, write the report, then let a critical failure stop the run."""
-    results = checks.fixed_results(checks.validate_bronze(bronze))
+def validate_layer(
+    bronze: DataFrame, bronze_path: str, lake: Lake, fail_on_error: bool = True, results: DataFrame | None = None
+) -> list[str]:
+    """TB14: validate (or take the given results), write the report, then let a critical failure stop the run."""
+    results = checks.fixed_results(checks.validate_bronze(bronze) if results is None else results)
     stamp = checks.run_timestamp()
     checks.write_report(checks.report_document(results, bronze_path, stamp), lake.path("reports", stamp))
     return checks.gate(results, fail_on_error)
@@ -382,20 +385,28 @@ def run_daily(
     fail_on_error: bool = True,
     max_group_rows: int = MAX_GROUP_ROWS,
     on_step: Callable[[str], None] = lambda step: None,
+    keep_counts: bool = False,
 ) -> Run:
     """All steps in order; any failure stops the run.
 
     With ``day`` the input is that day's records: silver and gold of the day are replaced, and the
     marts, which are small, built again. ``max_group_rows`` is the largest group of one region and
-    day that one task may have to sort.
+    day that one task may have to sort. With ``keep_counts`` the verdicts are on the whole history: the
+    counts of its days are kept in the lake, and a day run reads them instead of the older records.
     """
     configure(spark)
     bronze = read_bronze(spark, bronze_path)
-    on_step("validate")
-    warnings = validate_layer(bronze, str(bronze_path), lake, fail_on_error)
-    on_step("silver")
     with discarding_staged(spark):
+        on_step("validate")
+        store, counts, results = CountStore(lake.path("validation", "counts")), None, None
+        if keep_counts:
+            counts = stage(day_counts(bronze), "counts")
+            results = results_with(counts, store, day)
+        warnings = validate_layer(bronze, str(bronze_path), lake, fail_on_error, results)
+        on_step("silver")
         rows = {"silver_videos": build_silver(bronze, lake, grain, day)}
+        if counts is not None:
+            store_counts(counts, store, day)
         on_step("gold")
         rows |= build_gold(spark, lake, day, max_group_rows)
         on_step("marts")

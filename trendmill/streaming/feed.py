@@ -16,6 +16,7 @@ state: with it they follow without reading what has not changed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -49,6 +50,10 @@ class Feed:
     def changes(self) -> str:
         return f"{self.root}/changes"
 
+    @property
+    def arrivals(self) -> str:
+        return f"{self.root}/arrivals"
+
     @property
     def marks(self) -> str:
         return f"{self.root}/marks"
@@ -151,20 +156,28 @@ def merge_batch(batch: DataFrame, batch_id: int, feed: Feed, stream: str = "") -
     _replace_days(spark.read.schema(schema).parquet(feed.merged), feed.state, "dynamic")
 
 
-def start_feed(bronze: DataFrame, feed: Feed) -> StreamingQuery:
-    """Process everything that has arrived, in batches, then stop; a later start goes on from there."""
+def start_feed(
+    bronze: DataFrame,
+    feed: Feed,
+    every: str | None = None,
+    also: Callable[[DataFrame, str], None] = lambda batch, name: None,
+) -> StreamingQuery:
+    """Process everything that has arrived, in batches, then stop; a later start goes on from there.
+
+    With ``every``, an interval, it goes on looking for new files until it is stopped. ``also`` is
+    called with each batch and its name before it is merged; a repeated batch has the same name.
+    """
     spark = bronze.sparkSession
     prepare_feed(spark, feed)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch, batch_id, feed, stream_id(spark, feed))
+        stream = stream_id(spark, feed)
+        also(batch, change_name(stream, batch_id))
+        merge_batch(batch, batch_id, feed, stream)
 
-    return (
-        bronze.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", feed.checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = bronze.writeStream.foreachBatch(merge).option("checkpointLocation", feed.checkpoint)
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return writer.trigger(**trigger).start()
 
 
 def feed_silver(spark: SparkSession, feed: Feed, grain: str = "day", days: list | None = None) -> DataFrame:
