@@ -26,7 +26,7 @@ from trendmill.plans.validation import CountStore, day_counts, results_with, sto
 from trendmill.schemas import BRONZE_COLUMNS, GOLD, GOLD_PARTITIONS, SILVER, SILVER_PARTITIONS
 from trendmill.session import configure, scratch_path, stage
 from trendmill.sources import bronze as raw
-from trendmill.sources import quarantine
+from trendmill.sources import quarantine, variants
 from trendmill.sources.buckets import Bucketed, buckets_for, read_bucketed, write_bucketed
 from trendmill.sources.events import bronze_from_events, payloads_from_events, read_events
 from trendmill.sources.tables import read_catalog, read_table, register_table, write_table
@@ -134,6 +134,13 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(flat.withColumn("tags_count", F.size("tags")))
 
 
+def json_flatten_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records from answers read as VARIANT values, without a fixed struct."""
+    answers = payloads_from_events(read_events(configure(spark), sf_dir))
+    flat = variants.flatten_variant(variants.decode_variant(answers))
+    return comparable(flat.withColumn("tags_count", F.size("tags")))
+
+
 def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.ingest_summary(_decoded(spark, sf_dir))
 
@@ -569,7 +576,7 @@ def queries() -> dict[str, Query]:
         gold_after_late_day, ranks_after_late_day, dq_report, catalog_roundtrip, observed_counts,
         report_order, ingest_total, catalog_evolution, table_versions, crash_between_versions,
         feed_gold_changes, quarantine_counts, quarantine_replay, sql_functions,
-        velocity_in_buckets, dq_day_by_day, feed_arrivals,
+        velocity_in_buckets, dq_day_by_day, feed_arrivals, json_flatten_variant,
     ]
     named = {query.__name__: query for query in registered}
     named |= {name: _staging_query(name) for name in staging.STAGING}

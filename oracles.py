@@ -417,6 +417,7 @@ def sql() -> dict[str, str]:
         "latest_per_video_region": layers(f"SELECT {KEYS} FROM silver", "latest"),
         "duration_seconds": raw(f"SELECT duration, {DURATION} AS duration_seconds FROM bronze"),
         "json_flatten": raw(FLATTENED),
+        "json_flatten_variant": raw(FLATTENED),
         "ingest_summary": raw(INGEST),
         "region_counts": raw("SELECT region, count(*) AS records FROM bronze GROUP BY region"),
         "daily_trending_rank": layers(RANKED),
