@@ -495,6 +495,17 @@ def velocity_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(gold.view_velocity(read_bucketed(spark, table)))
 
 
+def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate says of all records: why it stops the run, and the warnings it lets pass."""
+    results = checks.fixed_results(dq_expectations(spark, sf_dir))
+    warnings, stop = checks.gate(results, fail_on_error=False), ""
+    try:
+        checks.gate(results)
+    except checks.ExpectationsFailed as error:
+        stop = str(error)
+    return spark.createDataFrame([(stop, ", ".join(warnings))], "stop STRING, warnings STRING")
+
+
 def dq_day_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdicts on all records, from the kept counts of the other days and those of a day that is replaced."""
     store = CountStore(scratch_path(configure(spark), "counts"))
@@ -576,7 +587,7 @@ def queries() -> dict[str, Query]:
         gold_after_late_day, ranks_after_late_day, dq_report, catalog_roundtrip, observed_counts,
         report_order, ingest_total, catalog_evolution, table_versions, crash_between_versions,
         feed_gold_changes, quarantine_counts, quarantine_replay, sql_functions,
-        velocity_in_buckets, dq_day_by_day, feed_arrivals, json_flatten_variant,
+        velocity_in_buckets, dq_day_by_day, feed_arrivals, json_flatten_variant, dq_gate,
     ]
     named = {query.__name__: query for query in registered}
     named |= {name: _staging_query(name) for name in staging.STAGING}

@@ -484,6 +484,11 @@ SELECT 'events' AS bronze_path, totals.*, CAST(list_position(""" + str([row[0] f
         ),
         "quarantine_replay": daily_silver,
         "velocity_in_buckets": layers(VELOCITY),
+        "dq_gate": _checks() + """SELECT CASE WHEN count(*) FILTER (NOT success AND critical) = 0 THEN '' ELSE
+  count(*) FILTER (NOT success AND critical) || ' critical expectation(s) not met: ' ||
+  string_agg(expectation, ', ' ORDER BY place) FILTER (NOT success AND critical) END AS stop,
+  coalesce(string_agg(expectation, ', ' ORDER BY place) FILTER (NOT success AND NOT critical), '') AS warnings
+FROM (SELECT *, list_position(""" + str([row[0] for row in _rows()]) + """, expectation) AS place FROM results)""",
         "dq_day_by_day": _checks() + "SELECT * FROM results",
         "feed_arrivals": raw(
             "SELECT region, hour, records, coalesce(hour_start + INTERVAL 3 HOUR <= max(last_seen) OVER (), false) AS closed FROM ("
