@@ -269,6 +269,14 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_table_tests(_built(spark, sf_dir), {}, checks.ACCEPTED)
 
 
+def dq_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All verdicts on gold, staging and marts, counted while the marts were written."""
+    lake = daily.Lake(scratch_path(configure(spark), "lake"))
+    daily.build_silver(_bronze(spark, sf_dir), lake)
+    daily.build_gold(spark, lake)
+    return daily.store_tested_marts(spark, lake)[1]
+
+
 def dq_value_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per value of every column whose values are tested."""
     tables = _built(spark, sf_dir)
@@ -587,7 +595,7 @@ def queries() -> dict[str, Query]:
         gold_after_late_day, ranks_after_late_day, dq_report, catalog_roundtrip, observed_counts,
         report_order, ingest_total, catalog_evolution, table_versions, crash_between_versions,
         feed_gold_changes, quarantine_counts, quarantine_replay, sql_functions,
-        velocity_in_buckets, dq_day_by_day, feed_arrivals, json_flatten_variant, dq_gate,
+        velocity_in_buckets, dq_day_by_day, feed_arrivals, json_flatten_variant, dq_gate, dq_observed,
     ]
     named = {query.__name__: query for query in registered}
     named |= {name: _staging_query(name) for name in staging.STAGING}

@@ -526,6 +526,7 @@ FROM (SELECT *, list_position(""" + str([row[0] for row in _rows()]) + """, expe
         ),
         "dq_not_null": layers(_not_null()),
         "dq_accepted_values": layers(_accepted()),
+        "dq_observed": layers(f"{_not_null()} UNION ALL {_accepted()}"),
         "dq_value_histogram": layers(
             " UNION ALL ".join(
                 f"SELECT '{table}' AS table_name, '{column}' AS column_name, CAST({column} AS VARCHAR) AS value_field, "

@@ -130,6 +130,56 @@ def test_table_tests(spark):
     assert rows == {("not_null", "id"): (1, True), ("accepted_values", "label"): (1, True)}
 
 
+def watched_tests(spark, df, not_null, accepted, work):
+    seen, own = tabletests.watched(df, "t", not_null, accepted)
+    work(seen)
+    return tabletests.observed_tests(spark, [own], {"t": df})
+
+
+@pytest.mark.parametrize("rows", [[(None, "a"), (1, "x"), (2, "x"), (3, None)], [(1, "a"), (2, None)], []])
+@pytest.mark.parametrize("work", [
+    lambda df: df.write.format("noop").mode("overwrite").save(),
+    lambda df: df.groupBy("label").count().collect(),
+    lambda df: df.orderBy("id").collect(),
+    lambda df: df.join(df.groupBy("label").count(), "label").collect(),
+])
+def test_tests_that_are_counted_meanwhile(spark, rows, work):
+    """The same verdicts, whatever reads the rows; a sort reads them twice, and a join with itself as well."""
+    df = spark.createDataFrame(rows, "id int, label string")
+    not_null, accepted = {"t": ["id"], "other": ["id"]}, {("t", "label"): ["a"], ("other", "label"): ["a"]}
+    expected = tabletests.run_table_tests({"t": df}, not_null, accepted).collect()
+    assert sorted(watched_tests(spark, df, not_null, accepted, work).collect()) == sorted(expected)
+
+
+def test_only_failed_tests_are_read_again(spark, tmp_path):
+    spark.createDataFrame([(1, None, "a"), (2, 5, "b")], "id int, other int, label string").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+
+    def plan(columns, values):
+        seen = watched_tests(spark, df, {"t": columns}, {("t", "label"): values}, lambda x: x.write.parquet(f"{tmp_path}/{len(values)}"))
+        return seen._jdf.queryExecution().executedPlan().toString()
+
+    assert "FileScan" not in plan(["id"], ["a", "b"])
+    again = plan(["id", "other"], ["a", "b", "c"])
+    assert again.count("FileScan") == 1 and "ReadSchema: struct<other:int>" in again
+
+
+def test_filters_stay_above_what_is_watched(spark, tmp_path):
+    spark.range(10).selectExpr("if(id = 9, null, id) AS id", "id AS b", "id AS c").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    seen, own = tabletests.watched(df, "t", {"t": ["id"]}, {})
+    few = seen.filter("b < 2").select("b")
+    assert "ReadSchema: struct<id:bigint,b:bigint>" in few._jdf.queryExecution().executedPlan().toString()
+    assert few.count() == 2
+    assert [r.failures for r in tabletests.observed_tests(spark, [own], {"t": df}).collect()] == [1]
+
+
+def test_row_gate_by_counts():
+    tabletests.require_counts({"full": 1})
+    with pytest.raises(tabletests.EmptyTables, match="2 table.*first, second"):
+        tabletests.require_counts({"first": 0, "full": 1, "second": 0})
+
+
 def test_row_gate_names_every_empty_table(spark):
     full, empty = spark.range(1), spark.range(0)
     tabletests.require_rows({"full": full})

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from trendmill.functions.parsing import to_timestamp
 from trendmill.operators.filters import partition_safe
 from trendmill.operators.scale import MAX_GROUP_ROWS, group_key, largest_group
-from trendmill.operators.tabletests import require_rows, run_table_tests
+from trendmill.operators.tabletests import observed_tests, require_counts, watched
 from trendmill.plans import checks, gold, marts, staging
 from trendmill.plans.silver import ENTITY, SNAPSHOT, silver_videos
 from trendmill.plans.validation import CountStore, day_counts, results_with, store_counts
@@ -249,21 +249,41 @@ def mart_tables(
     }
 
 
-def build_marts(spark: SparkSession, lake: Lake, max_group_rows: int = MAX_GROUP_ROWS) -> Run:
-    """TB10-TB13, SK3, then the declared tests of all tables, then the row gate (DQ18-20)."""
-    run = Run()
+def store_tested_marts(
+    spark: SparkSession, lake: Lake, max_group_rows: int = MAX_GROUP_ROWS
+) -> tuple[dict[str, int], DataFrame]:
+    """TB10-TB13, SK3: write the marts; rows per mart, and the verdicts of all declared tests (DQ18, DQ19).
+
+    Every mart reads its gold table and staging view whole. All tests are counted during these
+    writes, so that tables are read again only for tests that fail.
+    """
     layer = read_gold(spark, lake)
-    stg = staging_views(layer)
+    views = staging_views(layer)
     bound = largest_group(layer["daily_trending_rank"], gold.DAY)
-    tables = mart_tables(stg, bound, max_group_rows)
+    watches = []
+
+    def watch(df: DataFrame, name: str) -> DataFrame:
+        seen, own = watched(df, name, checks.NOT_NULL, checks.ACCEPTED)
+        watches.append(own)
+        return seen
+
+    # The views of the session are other frames, as filters of later readers must reach the files.
+    stg = {name: watch(build(watch(layer[source], source)), name) for name, (source, build) in staging.STAGING.items()}
+    tables = {name: watch(df, name) for name, df in mart_tables(stg, bound, max_group_rows).items()}
     schemas = {name: df.schema for name, df in tables.items()}
     order = {name: [c for c in marts.REPORT_ORDER[name] if c not in MART_PARTITIONS] for name in tables}
-    run.rows = store_layer(lake, "marts", tables, schemas, MART_PARTITIONS, order)
+    rows = store_layer(lake, "marts", tables, schemas, MART_PARTITIONS, order)
     built = {name: read_layer(spark, lake, "marts", name, schema) for name, schema in schemas.items()}
-    tests = run_table_tests(layer | stg | built, checks.NOT_NULL, checks.ACCEPTED)
+    return rows, observed_tests(spark, watches, layer | views | built)
+
+
+def build_marts(spark: SparkSession, lake: Lake, max_group_rows: int = MAX_GROUP_ROWS) -> Run:
+    """The marts with the declared tests of all tables, then the row gate (DQ18-20)."""
+    run = Run()
+    run.rows, tests = store_tested_marts(spark, lake, max_group_rows)
     failed = tests.filter("should_error").collect()
     run.failed_tests = [f"{row.test}_{row.table_name}_{row.column_name}" for row in failed]
-    require_rows(built)
+    require_counts(run.rows)
     return run
 
 
