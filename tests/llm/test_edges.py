@@ -157,6 +157,21 @@ def test_random_words_are_encoded_as_by_the_library():
     assert coder.encode(pa.array(texts)).to_pylist() == reader.encode(texts)
 
 
+def test_long_words_are_encoded_as_by_the_library(docs_of, tables):
+    """Texts without spaces: prose, runs whose pieces depend on where they begin, and lengths around those of a stretch."""
+    import random
+
+    reader = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    chance = random.Random(7)
+    prose = "".join("".join((r.text or "").split()) for r in tables("documents").limit(60).collect())
+    cut = pieces.STRETCH + pieces.OVERLAP
+    texts = [prose[:40_000], "a" * 9_001, "xy" + "a" * 5_001 + "b" * 3_000, ("a" * 401 + "b" * 333 + "ab" * 200) * 4, "日本語😀" * 900]
+    for size in [pieces.LONG, pieces.LONG + 1, cut - 1, cut, cut + 1, cut + pieces.STRETCH, 2 * cut + 3]:
+        texts += [prose[size : 2 * size], "x" * size, "".join(chance.choices("abé的😀", k=size)), "".join(chance.choices("01", k=size)) + " end"]
+    for r in pieces.encoded(docs_of(*texts)).collect():
+        assert r.token_ids == reader.encode(texts[r.doc_id]) and r.restored
+
+
 # Rules and classifier
 
 

@@ -5,6 +5,13 @@ gives, the last piece of every prefix is the one piece that ends there and does
 border with the last piece before it; and any chain of pieces that pass this test pair by pair is
 the encoding. So a Viterbi pass over the edges that pass, taking the longest at each node and
 storing backpointers, yields exactly what merging yields, for all words of one length at a time.
+
+A long word, such as a text without spaces, has no equals to advance with. It is cut into stretches
+that overlap and are searched side by side, each as if the word began there. What a node stores
+depends only on the characters and on the nodes before it, as many as the longest piece has
+characters. So once a stretch has stored the same as the one before it at that many nodes in a row, it
+stores what a search of the whole word would, and takes over. Where stretches do not come to agree,
+the search goes on from the one before.
 """
 
 from __future__ import annotations
@@ -25,7 +32,11 @@ SPACE_SIGN = "▁"  # stands for a space in pieces, and is read as one in texts
 MEMO_WORDS = 300_000  # encoded words that a worker remembers
 MEMO_PAIRS = 1 << 21  # tested pairs that it remembers
 SLICE_BYTES = 4 << 20
-GATHERED = 1 << 17  # stretches
+GATHERED = 1 << 17  # lists
+LONG = 64  # characters, beyond which a word is cut
+STRETCH = 256  # characters, and
+OVERLAP = 64  # those that it shares with the next one
+SIDE_BY_SIDE = 512  # stretches
 
 ENCODED = "doc_id BIGINT, token_ids ARRAY<INT>, n_tokens BIGINT, restored BOOLEAN"
 
@@ -177,8 +188,11 @@ class Coder:
             open_ = open_[~merges & ((own > -np.inf) | (other > -np.inf))]
         return verdict
 
-    def _search(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of words of one length (a row of characters each): how many, and all of them in a row."""
+    def _last(self, points: np.ndarray, known: np.ndarray | None = None) -> np.ndarray:
+        """The last piece of every prefix of words of one length, a row of characters each.
+
+        known: what the first nodes store, if the rows go on from an earlier search.
+        """
         m, n = points.shape
         powers, back_powers = _powers(n, _ODD), _powers(n, _INVERSE)
         total = np.zeros((m, n + 1), np.uint64)
@@ -189,8 +203,11 @@ class Coder:
             found = self.pieces(raw.ravel())
             fit = (found != NONE) & self.built[found] & (self.lengths[found] == span)
             edges[span] = np.where(fit, found, NONE).reshape(raw.shape)
-        last, span_of = np.full((m, n + 1), NONE, np.int32), np.zeros((m, n + 1), np.int32)
-        for node in range(1, n + 1):
+        last, first = np.full((m, n + 1), NONE, np.int32), 1
+        if known is not None:
+            first = known.shape[1]
+            last[:, :first] = known
+        for node in range(first, n + 1):
             open_ = np.arange(m)
             for span in range(min(node, self.longest), 0, -1):
                 piece, before = edges[span][open_, node - span], last[open_, node - span]
@@ -200,12 +217,23 @@ class Coder:
                 if span == 1:  # a character without a piece stands alone
                     piece, fits = np.where(piece == NONE, UNKNOWN, piece), fits | (piece == NONE)
                 done = open_[fits]
-                last[done, node], span_of[done, node] = piece[fits], span
+                last[done, node] = piece[fits]
                 open_ = open_[~fits]
                 if not len(open_):
                     break
             if len(open_):
                 raise ValueError("no piece ends a prefix, which cannot be in a vocabulary that merging built")
+        return last
+
+    def _spans(self, last: np.ndarray) -> np.ndarray:
+        """How far back each node points."""
+        return np.where(last >= 0, self.lengths[last], 1)
+
+    def _search(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of words of one length (a row of characters each): how many, and all of them in a row."""
+        m, n = points.shape
+        last = self._last(points)
+        span_of = self._spans(last)
         at, row, out = np.full(m, n), np.arange(m), np.full((m, n), NONE, np.int32)
         for step in range(n - 1, -1, -1):  # backpointers, for all words at once
             going = at > 0
@@ -215,9 +243,69 @@ class Coder:
             at[going] -= span_of[row[going], at[going]]
         return (out != NONE).sum(axis=1), out[out != NONE]
 
+    def _stretches(self, parts: list[tuple[np.ndarray, int]]) -> np.ndarray:
+        """What the nodes of a stretch from each place of a word store; the last of a word is filled up."""
+        rows = np.zeros((len(parts), STRETCH + OVERLAP), np.uint32)
+        for row, (word, at) in zip(rows, parts, strict=True):
+            part = word[at : at + len(row)]
+            row[: len(part)] = part
+        return self._last(rows)
+
+    def _search_long(self, words: list[np.ndarray]) -> Iterator[np.ndarray]:
+        """The pieces of each word of any length. Stretches of all words advance together."""
+        cuts = [(k, at) for k, word in enumerate(words) for at in range(0, max(1, len(word) - OVERLAP), STRETCH)]
+        stored = [np.full(len(word) + 1, NONE, np.int32) for word in words]
+        known = [0] * len(words)  # the last node of each word that is searched
+        for first in range(0, len(cuts), SIDE_BY_SIDE):
+            some = cuts[first : first + SIDE_BY_SIDE]
+            for (k, at), last in zip(some, self._stretches([(words[k], at) for k, at in some]), strict=True):
+                known[k] = self._joined(stored[k], known[k], at, last)
+        for word, last, reached in zip(words, stored, known, strict=True):
+            self._go_on(word, last, reached)
+            spans, at, found = self._spans(last).tolist(), len(last) - 1, []
+            while at:
+                found.append(at)
+                at -= spans[at]
+            yield last[found[::-1]]
+
+    def _joined(self, stored: np.ndarray, known: int, at: int, last: np.ndarray) -> int:
+        """Take over what a stretch from ``at`` has stored, if it agrees with what is known; the last node known then."""
+        end, need = min(len(stored) - 1, at + len(last) - 1), self.longest
+        if at:
+            same = np.append(0, np.cumsum(stored[at + 1 : known + 1] == last[1 : max(1, known - at + 1)]))
+            if not (same[need:] - same[:-need] == need).any():
+                return known
+        stored[known + 1 : end + 1] = last[known - at + 1 : end - at + 1]
+        return end
+
+    def _go_on(self, word: np.ndarray, stored: np.ndarray, known: int) -> None:
+        """Search the rest of a word, of which a stretch did not agree: from where a piece ends, as in runs of one character.
+
+        If that does not agree either, one stretch is searched from what is known. The more stretches
+        have agreed, the more are tried at once, so that little is searched in vain.
+        """
+        tried = 8
+        while known < len(word):
+            at, spans = known, self._spans(stored[known - 2 * OVERLAP : known + 1]).tolist()
+            while known - at < OVERLAP:
+                at -= spans[at - known - 1]
+            starts = range(at, max(at + 1, len(word) - OVERLAP), STRETCH)[:tried]
+            before = known
+            for start, last in zip(starts, self._stretches([(word, start) for start in starts]), strict=True):
+                reached = self._joined(stored, known, start, last)
+                if reached == known:
+                    tried = 2
+                    break
+                known = reached
+            tried = min(4 * tried, SIDE_BY_SIDE)
+            if known == before:
+                begin, end = known - self.longest, min(len(word), known + STRETCH)
+                stored[begin : end + 1] = self._last(word[None, begin:end], stored[None, begin : known + 1])[0]
+                known = end
+
     def words(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word, as bytes of 32-bit numbers."""
-        memo = self.memo["words"]
+        """The ids of each word, as bytes of 32-bit numbers. Long words are not remembered."""
+        memo, long = self.memo["words"], {}
         fresh = [word for word in words if word not in memo]
         if fresh:
             if len(memo) + len(fresh) > MEMO_WORDS:
@@ -229,7 +317,11 @@ class Coder:
             edges = np.append(0, np.cumsum(np.fromiter(map(len, fresh), np.int64, len(fresh))))
             begun = np.append(0, np.cumsum((data & 0xC0) != 0x80))[edges]  # characters before each word
             starts, sizes = begun[:-1], np.diff(begun)
-            for size in np.unique(sizes):
+            lengthy = np.flatnonzero(sizes > LONG).tolist()
+            parts = [points[starts[k] : starts[k] + sizes[k]] for k in lengthy]
+            for k, part, ids in zip(lengthy, parts, self._search_long(parts), strict=True):
+                long[fresh[k]] = (self._with_bytes(part, ids) if (ids == UNKNOWN).any() else ids).tobytes()
+            for size in np.unique(sizes[sizes <= LONG]):
                 own = np.flatnonzero(sizes == size)
                 rows = points[starts[own][:, None] + np.arange(size)]
                 count, ids = self._search(rows)
@@ -239,7 +331,7 @@ class Coder:
                 memo.update(zip([fresh[k] for k in own.tolist()], map(whole.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
                 for k in strange.tolist():
                     memo[fresh[own[k]]] = self._with_bytes(rows[k], ids[beyond[k] - count[k] : beyond[k]]).tobytes()
-        return [memo[word] for word in words]
+        return [long[word] if word in long else memo[word] for word in words]
 
     def _with_bytes(self, points: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The ids with the bytes of each character that has no piece."""
