@@ -1,12 +1,15 @@
 """A lake that follows the feed: only what has changed is written, and it equals the whole build."""
 
+from functools import partial
 from pathlib import Path
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
 from trendmill.plans import daily
 from trendmill.schemas import GOLD, SILVER
+from trendmill.session import side_by_side
 from trendmill.sources.bronze import land
 from trendmill.sources.tables import read_table
 from trendmill.streaming.feed import Feed, change_lists, feed_silver, read_changes, start_feed, stream_bronze
@@ -113,3 +116,60 @@ def test_a_failed_run_is_repeated(spark, tmp_path, monkeypatch):
     daily.run_feed(spark, feed, lake)
     same_as_whole_build(spark, feed, lake, str(tmp_path / "whole"))
     assert len(change_lists(spark, feed)) == 3 and daily.pending_changes(spark, feed, lake) == []
+
+
+def test_tables_of_a_layer_are_written_at_one_time(spark, tmp_path, monkeypatch):
+    feed, lake = Feed(str(tmp_path / "feed")), daily.Lake(str(tmp_path / "lake"))
+    feed_in(spark, str(tmp_path / "landing"), feed, FIRST)
+    daily.run_feed(spark, feed, lake)
+    feed_in(spark, str(tmp_path / "landing"), feed, LATE)
+    replace, write, together = daily.replace_partitions, daily.write_table, {"gold": Barrier(5), "marts": Barrier(4)}
+
+    def waiting(step):
+        def run(df, path, *more, **named):
+            layer = Path(path).parent.name
+            if layer in together:
+                together[layer].wait(120)  # breaks unless all tables of the layer come this far
+            return step(df, path, *more, **named)
+
+        return run
+
+    monkeypatch.setattr(daily, "replace_partitions", waiting(replace))
+    monkeypatch.setattr(daily, "write_table", waiting(write))
+    daily.run_feed(spark, feed, lake)
+    same_as_whole_build(spark, feed, lake, str(tmp_path / "whole"))
+
+
+def test_rows_of_other_days_need_no_join(spark, tmp_path, monkeypatch):
+    feed, lake = Feed(str(tmp_path / "feed")), daily.Lake(str(tmp_path / "lake"))
+    feed_in(spark, str(tmp_path / "landing"), feed, FIRST)
+    daily.run_feed(spark, feed, lake)
+    feed_in(spark, str(tmp_path / "landing"), feed, [LATE[1], {"video_id": "v9", "ingested_at": "bad"}])
+    joined, only = [], daily._only
+
+    def watching(df, keys, columns, how="left_semi"):
+        if how == "left_anti":
+            joined.extend(str(row.snapshot_date) for row in df.select("snapshot_date").distinct().collect())
+        return only(df, keys, columns, how)
+
+    monkeypatch.setattr(daily, "_only", watching)
+    daily.run_feed(spark, feed, lake)
+    assert joined == ["2026-01-02"]
+    same_as_whole_build(spark, feed, lake, str(tmp_path / "whole"))
+
+
+def test_failures_are_raised_in_order_when_all_have_ended():
+    ended = []
+
+    def job(name, fails):
+        if fails:
+            raise ValueError(name)
+        ended.append(name)
+        return name
+
+    found = side_by_side([partial(job, "a", False), partial(job, "b", True), partial(job, "c", True), partial(job, "d", False)])
+    assert next(found) == "a"
+    with pytest.raises(ValueError, match="b"):
+        next(found)
+    assert sorted(ended) == ["a", "d"]
+    assert list(side_by_side([])) == []

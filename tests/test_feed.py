@@ -5,7 +5,8 @@ from functools import reduce
 import pytest
 from pyspark.sql import DataFrame
 
-from trendmill.plans.silver import silver_videos
+from trendmill.plans import silver
+from trendmill.plans.silver import newest, silver_videos
 from trendmill.sources.bronze import land
 from trendmill.streaming import feed as streaming
 from trendmill.streaming.feed import Feed, feed_silver, merge_batch, prepare_feed, start_feed, stream_bronze
@@ -114,3 +115,37 @@ def test_a_batch_leaves_other_days_alone(spark, tmp_path):
     merge_batch(records(spark, at(2, 5, view_count=6)), 1, feed)
     assert first_day and first_day <= set(spark.read.parquet(feed.state).inputFiles())
     assert [r.view_count for r in feed_silver(spark, feed).orderBy("ingested_at").collect()] == [1, 6]
+
+
+def test_a_batch_is_sorted_once_with_the_state(spark, tmp_path, monkeypatch):
+    calls = []
+
+    def counting(records, grain, *then):
+        calls.append(grain)
+        return newest(records, grain, *then)
+
+    for module in (streaming, silver):
+        monkeypatch.setattr(module, "newest", counting)
+    feed = Feed(str(tmp_path))
+    prepare_feed(spark, feed)
+    for number, batch in enumerate(batches()):
+        once = records(spark, *batch)
+        merge_batch(once.union(once), number, feed)
+        assert len(calls) == number + 1
+    monkeypatch.undo()
+    whole = reduce(DataFrame.unionByName, [records(spark, *batch) for batch in batches()])
+    assert rows_of(feed_silver(spark, feed)) == rows_of(silver_videos(whole))
+
+
+def test_the_state_is_copied_without_a_shuffle(spark, tmp_path, monkeypatch):
+    plans, replace = {}, streaming._replace_days
+
+    def watching(df, path, mode):
+        plans[mode] = df._jdf.queryExecution().optimizedPlan().toString()
+        replace(df, path, mode)
+
+    monkeypatch.setattr(streaming, "_replace_days", watching)
+    feed = Feed(str(tmp_path))
+    prepare_feed(spark, feed)
+    merge_batch(records(spark, *batches()[0]), 0, feed)
+    assert "RebalancePartitions" in plans["static"] and "Rebalance" not in plans["dynamic"]

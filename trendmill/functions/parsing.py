@@ -39,8 +39,8 @@ def duration_seconds(text: Column) -> Column:
     """
     seconds = F.lit(0).cast("bigint")
     for group, unit in enumerate(SECONDS_PER_UNIT, start=1):
-        digits = F.regexp_extract(text, DURATION, group)
-        part = F.when(digits == "", F.lit(0)).otherwise(digits.try_cast("int"))
+        # The zero before the digits reads a missing part as 0, so each part is extracted once.
+        part = F.concat(F.lit("0"), F.regexp_extract(text, DURATION, group)).try_cast("int")
         seconds = seconds + part.cast("bigint") * F.lit(unit)
     return F.when(text.rlike(DURATION_START), seconds.try_cast("int"))
 

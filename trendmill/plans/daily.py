@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from trendmill.plans import checks, gold, marts, staging
 from trendmill.plans.silver import ENTITY, SNAPSHOT, silver_videos
 from trendmill.plans.validation import CountStore, day_counts, results_with, store_counts
 from trendmill.schemas import GOLD, GOLD_PARTITIONS, MART_PARTITIONS, SILVER, SILVER_PARTITIONS
-from trendmill.session import configure, discarding_staged, exists, remove, stage
+from trendmill.session import configure, discarding_staged, exists, remove, side_by_side, stage
 from trendmill.sources.bronze import read_bronze, require_input
 from trendmill.sources.tables import (
     DEFAULT_FORMAT,
@@ -83,12 +83,12 @@ def store_layer(
         spark = builds[0][0].sparkSession
         counts = publish_all(spark, builds)
         return {name: counts[lake.name(layer, name)] for name in tables}
+    writes = [partial(write_table, df, lake.path(layer, name), partition_by, order.get(name), lake.fmt) for name, df in tables.items()]
     rows = {}
-    for name, df in tables.items():
-        path = lake.path(layer, name)
-        rows[name] = write_table(df, path, partition_by, order.get(name), lake.fmt)
+    for (name, df), count in zip(tables.items(), side_by_side(writes)):
+        rows[name] = count
         if lake.database:
-            register_table(df.sparkSession, lake.name(layer, name), path, schemas[name], partition_by, lake.fmt)
+            register_table(df.sparkSession, lake.name(layer, name), lake.path(layer, name), schemas[name], partition_by, lake.fmt)
     return rows
 
 
@@ -203,23 +203,25 @@ def build_gold(
     keys = gold.on_date(before, SNAPSHOT, day).select(*ENTITY).union(snaps.select(*ENTITY))
     renewed["view_velocity"] = [day, *days_after(history, keys, day)]
     tables["view_velocity"] = gold.velocity_of_days(history, renewed["view_velocity"])
-    rows = {}
-    for name, df in tables.items():
-        old = read_layer(spark, lake, "gold", name, GOLD[name]).filter(gold.is_on(renewed[name]))
-        rows[name] = replace_gold(spark, lake, name, df, old.select(*GOLD_PARTITIONS))
-    return rows
+    old = {name: read_layer(spark, lake, "gold", name, GOLD[name]).filter(gold.is_on(renewed[name])) for name in tables}
+    return replace_gold(spark, lake, tables, {name: df.select(*GOLD_PARTITIONS) for name, df in old.items()})
 
 
 GOLD_ORDER = {"daily_trending_rank": ["trending_rank"]}
 
 
-def replace_gold(spark: SparkSession, lake: Lake, name: str, df: DataFrame, partitions: DataFrame) -> int:
-    """Write ``df`` over its partitions of a gold table and remove those of ``partitions`` (regions times days) that it has no row of."""
-    path = lake.path("gold", name)
-    touched = [row.asDict() for row in partitions.distinct().collect()]
-    rows = replace_partitions(stage(df, name), path, GOLD_PARTITIONS, touched, GOLD_ORDER.get(name))
-    if lake.database:
-        register_table(spark, lake.name("gold", name), path, GOLD[name], GOLD_PARTITIONS, lake.fmt)
+def replace_gold(spark: SparkSession, lake: Lake, tables: dict[str, DataFrame], partitions: dict[str, DataFrame]) -> dict[str, int]:
+    """Write tables over their partitions in gold and remove those of ``partitions`` (regions times days) that they have no row of."""
+
+    def replace(name: str) -> int:
+        touched = [row.asDict() for row in partitions[name].distinct().collect()]
+        return replace_partitions(stage(tables[name], name), lake.path("gold", name), GOLD_PARTITIONS, touched, GOLD_ORDER.get(name))
+
+    rows = {}
+    for name, count in zip(tables, side_by_side([partial(replace, name) for name in tables])):
+        rows[name] = count
+        if lake.database:
+            register_table(spark, lake.name("gold", name), lake.path("gold", name), GOLD[name], GOLD_PARTITIONS, lake.fmt)
     return rows
 
 
@@ -328,7 +330,9 @@ def apply_to_silver(spark: SparkSession, feed: Feed, lake: Lake, changes: DataFr
     near = reduce(or_, [reduce(and_, [F.col(c) == v for c, v in values.items()]) for values in touched])
     old = gold.snapshots(read_table(spark, path, SILVER, lake.fmt).filter(near))
     new = _only(gold.snapshots(feed_silver(spark, feed, days=days)), changes, [*ENTITY, SNAPSHOT])
-    merged = _only(old, changes, [*ENTITY, SNAPSHOT], "left_anti").unionByName(new).drop(SNAPSHOT)
+    changed_day = F.coalesce(gold.is_on([str(day) for day in days if day is not None]), F.lit(None in days))
+    kept = old.filter(~changed_day)  # rows of other days have other keys, so they need no join
+    merged = kept.unionByName(_only(old.filter(changed_day), changes, [*ENTITY, SNAPSHOT], "left_anti")).unionByName(new).drop(SNAPSHOT)
     rows = replace_partitions(stage(merged, "silver"), path, SILVER_PARTITIONS, touched, ["ingested_at"])
     if lake.database:
         register_table(spark, lake.name("silver", "videos"), path, SILVER, SILVER_PARTITIONS, lake.fmt)
@@ -358,9 +362,10 @@ def apply_to_gold(
     history = gold.snapshots(feed_silver(spark, feed))
     renewed = stage(pairs.unionByName(following_days(history, changes)).distinct(), "renewed")
     videos = _only(history.select(*ENTITY, SNAPSHOT), renewed, GOLD_PARTITIONS)
-    series = _only(history.select(*gold.VELOCITY_COLUMNS), videos, ENTITY)
+    # No record is without video or region; joined by these columns, the series are in place for their window.
+    series = history.select(*gold.VELOCITY_COLUMNS).join(videos.select(*ENTITY).distinct(), ENTITY, "left_semi")
     tables["view_velocity"] = _only(gold.view_velocity(series), renewed, GOLD_PARTITIONS)
-    return {name: replace_gold(spark, lake, name, df, renewed if name == "view_velocity" else pairs) for name, df in tables.items()}
+    return replace_gold(spark, lake, tables, {name: renewed if name == "view_velocity" else pairs for name in tables})
 
 
 def run_feed(

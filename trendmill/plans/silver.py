@@ -28,14 +28,18 @@ def newest(records: DataFrame, grain: str, *then: Column) -> DataFrame:
     return latest_per_key(records, GRAINS[grain], [F.desc("ingested_at"), *rest, *then])
 
 
+def timed_records(bronze: DataFrame) -> DataFrame:
+    """Records with keys, with the day they were seen, still as text but for ``ingested_at``."""
+    seen = to_timestamp(F.col("ingested_at"))
+    return drop_null_keys(bronze, ENTITY).withColumns({"ingested_at": seen, SNAPSHOT: F.to_date(seen)})
+
+
 def latest_records(bronze: DataFrame, grain: str = "day") -> DataFrame:
-    """Records with keys, the latest per key of the grain, still as text but for ``ingested_at``.
+    """The latest of the timed records per key of the grain.
 
     Runs before the other columns are parsed, so only survivors pay for that.
     """
-    seen = to_timestamp(F.col("ingested_at"))
-    timed = drop_null_keys(bronze, ENTITY).withColumns({"ingested_at": seen, SNAPSHOT: F.to_date(seen)})
-    return newest(timed, grain)
+    return newest(timed_records(bronze), grain)
 
 
 def typed(records: DataFrame) -> DataFrame:

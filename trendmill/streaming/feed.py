@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 
 from trendmill.operators.filters import partition_safe
 from trendmill.operators.scale import group_key
-from trendmill.plans.silver import ENTITY, SNAPSHOT, latest_records, newest, typed
+from trendmill.plans.silver import ENTITY, SNAPSHOT, newest, timed_records, typed
 from trendmill.schemas import BRONZE, BRONZE_COLUMNS, SILVER_PARTITIONS
 from trendmill.session import children, exists
 
@@ -99,14 +99,8 @@ def _is_marked(spark: SparkSession, feed: Feed, stream: str, batch_id: int) -> b
 
 
 def _replace_days(df: DataFrame, path: str, mode: str) -> None:
-    """Overwrite all days (static) or those in ``df`` (dynamic); AQE splits a day too large for a task."""
-    (
-        df.hint("rebalance", SNAPSHOT)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .partitionBy(SNAPSHOT)
-        .parquet(path)
-    )
+    """Overwrite all days (static) or those in ``df`` (dynamic)."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(SNAPSHOT).parquet(path)
 
 
 KEY = [*ENTITY, SNAPSHOT]
@@ -138,8 +132,9 @@ def merge_batch(batch: DataFrame, batch_id: int, feed: Feed, stream: str = "") -
     """Merge one batch of bronze records into the state. Running a batch of a stream twice changes nothing."""
     spark, schema = batch.sparkSession, _state_schema()
     if not _is_marked(spark, feed, stream, batch_id):
-        fresh = latest_records(batch).select(*BRONZE_COLUMNS, SNAPSHOT).persist(StorageLevel.DISK_ONLY)
+        fresh = timed_records(batch).select(*BRONZE_COLUMNS, SNAPSHOT).persist(StorageLevel.DISK_ONLY)
         try:
+            # Older records of the batch go in the merge below, in one pass with those of the state.
             # A batch has few days; their dates become literals, which prune the partitions of the state.
             days = [row[0] for row in fresh.select(SNAPSHOT).distinct().collect()]
             touched = F.col(SNAPSHOT).isin([day for day in days if day is not None])
@@ -147,12 +142,14 @@ def merge_batch(batch: DataFrame, batch_id: int, feed: Feed, stream: str = "") -
                 touched = touched | F.col(SNAPSHOT).isNull()
             current = spark.read.schema(schema).parquet(feed.state).filter(touched)
             both = current.withColumn(FRESH, F.lit(0)).unionByName(fresh.withColumn(FRESH, F.lit(1)))
-            _replace_days(newest(both, "day", F.asc(FRESH)), feed.merged, "static")  # an equal record changes nothing
+            merged = newest(both, "day", F.asc(FRESH))  # an equal record changes nothing
+            _replace_days(merged.hint("rebalance", SNAPSHOT), feed.merged, "static")  # AQE splits a day too large for a task
             won = spark.read.schema(_state_schema().add(FRESH, "integer")).parquet(feed.merged).filter(F.col(FRESH) == 1)
             _changes(won, current).write.mode("overwrite").parquet(f"{feed.changes}/{change_name(stream, batch_id)}")
             _mark(spark, feed, "last", stream, batch_id, "overwrite")
         finally:
             fresh.unpersist()
+    # These files have one day each, so they are copied as they are, without another shuffle.
     _replace_days(spark.read.schema(schema).parquet(feed.merged), feed.state, "dynamic")
 
 
