@@ -309,8 +309,8 @@ def _dealt_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     """All records as JSON lines below a landing prefix, in eight files or more."""
     prefix = scratch_path(configure(spark), "landing")
-    bronze = _bronze(spark, sf_dir)
-    raw.land(bronze, f"{prefix}/2024/01/01/00", rows_per_file=max(100, bronze.count() // 8))
+    bronze = _dealt_bronze(spark, sf_dir)
+    raw.land(bronze, f"{prefix}/2024/01/01/00", rows_per_file=max(100, read_events(spark, sf_dir).count() // 8))
     return raw.landing_glob(f"{prefix}/2024")
 
 
